@@ -1,0 +1,93 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tourledger.functions import calendar, numbers, text
+
+
+@pytest.mark.parametrize(
+    ("date", "year", "quarter"),
+    [
+        ("2020-01-31", 2019, "Q4"),
+        ("2020-03-31", 2019, "Q4"),
+        ("2020-04-01", 2020, "Q1"),
+        ("2020-05-31", 2020, "Q1"),
+        ("2020-07-31", 2020, "Q2"),
+        ("2020-10-01", 2020, "Q3"),
+        ("2020-12-31", 2020, "Q3"),
+        ("2020-02-29", 2019, "Q4"),
+    ],
+)
+def test_fiscal_calendar(spark, date, year, quarter):
+    day = F.lit(dt.date.fromisoformat(date))
+    row = spark.range(1).select(
+        calendar.fiscal_year(day),
+        calendar.fiscal_quarter(day),
+        calendar.fiscal_year_label(day),
+        calendar.reporting_period(day),
+        calendar.fiscal_label_to_year(calendar.reporting_period(day)),
+    ).first()
+    label = f"{year}-{year + 1}"
+    assert tuple(row) == (year, quarter, label, f"{label}-{quarter}", year)
+
+
+def test_null_dates_and_labels(spark):
+    nothing = F.lit(None).cast("date")
+    row = spark.range(1).select(
+        calendar.fiscal_year(nothing),
+        calendar.fiscal_quarter(nothing),
+        calendar.reporting_period(nothing),
+        calendar.fiscal_label_to_year(F.lit("no year")),
+        calendar.fiscal_label_to_year(F.lit("FY 2021-2022")),
+    ).first()
+    assert tuple(row) == (None, None, None, None, 2021)
+
+
+@pytest.mark.parametrize(
+    ("raw", "expected"),
+    [
+        ("admin / operations", "Admin / Operations"),
+        ("SMITH-JONES", "Smith-Jones"),
+        ("mcdonald o'brien", "Mcdonald O'brien"),
+        ("québec smith", "Québec Smith"),
+        ("a\tb(c)", "A\tB(C)"),
+        ("", ""),
+        (None, None),
+    ],
+)
+def test_title_case(make, raw, expected):
+    df = make("x string", [(raw,)])
+    assert df.select(text.title_case(F.col("x"))).first()[0] == expected
+
+
+def test_snake_case():
+    names = ["Full Name", "cardName", "Due Date", "% done", "HTTPServer", "2nd", "Full.Name", "l_shipdate"]
+    assert text.snake_case_all(names) == [
+        "full_name",
+        "card_name",
+        "due_date",
+        "percent_done",
+        "http_server",
+        "x2nd",
+        "full_name_2",
+        "l_shipdate",
+    ]
+
+
+@pytest.mark.parametrize(
+    ("part", "whole", "expected"),
+    [(1, 8, "12% (1)"), (3, 8, "38% (3)"), (22, 33, "67% (22)"), (5, 5, "100% (5)")],
+)
+def test_percent_text_rounds_half_to_even(spark, part, whole, expected):
+    fraction = numbers.share(F.lit(part), F.lit(whole))
+    assert spark.range(1).select(numbers.percent_text(fraction, F.lit(part))).first()[0] == expected
+
+
+def test_share_of_nothing_is_null(spark):
+    assert spark.range(1).select(numbers.share(F.lit(3), F.lit(0))).first()[0] is None
+
+
+def test_two_decimals(make):
+    df = make("x double", [(2.0,), (0.125,), (2.217,), (None,)])
+    assert [r[0] for r in df.select(numbers.two_decimals(F.col("x"))).collect()] == ["2.00", "0.12", "2.22", None]

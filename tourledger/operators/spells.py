@@ -10,6 +10,9 @@ from tourledger import names as N
 from tourledger.functions.calendar import fiscal_year
 from tourledger.functions.numbers import share
 
+# Stands in for a NULL person as a grouping key; no name holds this character.
+_NO_NAME = "\u0000"
+
 # A tour number is a 32-bit integer, so pieces of 2**15 numbers give at most 2**15 tours
 # per piece and 2**16 pieces per person, whatever one person's row count is.
 TOURS_PER_PIECE = 2**15
@@ -122,34 +125,41 @@ def monthly_headcount(
     )
 
 
-def merge_tours(df: DataFrame, as_of: dt.date, switch_value: str = N.SWITCH) -> DataFrame:
+def merge_tours(
+    df: DataFrame,
+    as_of: dt.date,
+    switch_value: str = N.SWITCH,
+    tours_per_piece: int = TOURS_PER_PIECE,
+) -> DataFrame:
     """Merge tours that continue one another, then measure them up to ``as_of``.
 
     A tour that ended with ``switch_value``, and the tour after it, both join the person's
     *first* tour, across gaps and whatever lies between. A merged tour takes the first
     start and arrival source and the last end and discipline, in tour order. A tour key
-    (person, tour number) that occurs more than once is one tour. Persons are not NULL.
+    (person, tour number) that occurs more than once is one tour.
 
     "The tour before" is looked up inside pieces of a person's tours; a second, much
     smaller step passes the last tour of each piece on to the next one. So no task holds
     all rows of a person.
     """
+    # Keys that cannot be NULL keep Spark from filtering only one side of the join below,
+    # and whole rows in the structs keep both sides on the same columns. So the shuffle
+    # under them is one and the same, and the tours are computed once.
+    keyed = df.withColumns({N.PERSON: F.coalesce(N.PERSON, F.lit(_NO_NAME)), N.TOUR: F.coalesce(N.TOUR, F.lit(1))})
     order_in_tour = [F.col(N.START), F.col(N.END).isNull().alias("open"), F.col(N.END)]
     tours = (
-        df.groupBy(N.PERSON, N.TOUR)
+        keyed.groupBy(N.PERSON, N.TOUR)
         .agg(
             F.min(F.struct(*order_in_tour, N.SOURCE)).alias("first"),
             F.max(F.struct(*order_in_tour, N.DISCIPLINE)).alias("last"),
             F.max(F.coalesce(F.col(N.DEPARTURE) == switch_value, F.lit(False))).alias("switch"),
         )
-        .withColumn("piece", F.floor(F.col(N.TOUR) / F.lit(TOURS_PER_PIECE)).cast("int"))
+        .withColumn("piece", F.coalesce(F.floor(F.col(N.TOUR) / tours_per_piece).cast("int"), F.lit(0)))
     )
 
     in_piece = Window.partitionBy(N.PERSON, "piece").orderBy(N.TOUR)
     stepped = tours.withColumn("follows", F.lag("switch").over(in_piece))
 
-    # Whole rows go into these structs so that both branches read the same columns and
-    # Spark reuses the shuffle under them instead of computing the tours twice.
     row = F.struct(N.TOUR, "switch", "first", "last")
     of_person = Window.partitionBy(N.PERSON).orderBy("piece")
     pieces = (
@@ -175,7 +185,7 @@ def merge_tours(df: DataFrame, as_of: dt.date, switch_value: str = N.SWITCH) ->
         .groupBy(N.PERSON, "merged_tour")
         .agg(F.min("first").alias("first"), F.max("last").alias("last"))
         .select(
-            N.PERSON,
+            F.nullif(N.PERSON, F.lit(_NO_NAME)).alias(N.PERSON),
             F.col("merged_tour").alias(N.TOUR),
             F.col(f"first.first.{N.START}").alias(N.START),
             F.col(f"last.last.{N.END}").alias(N.END),
