@@ -80,7 +80,7 @@ def ranked_orders(orders: DataFrame) -> DataFrame:
     share of all orders are ranked per day, and the number of earlier orders is added, so
     such a customer spreads over as many tasks as there are days.
     """
-    counts = orders.groupBy("o_custkey").count()
+    counts = orders.where("o_custkey IS NOT NULL").groupBy("o_custkey").count()
     total = counts.agg(F.sum("count")).scalar()
     hot = counts.where(F.col("count") * HOT_SHARE > total).select("o_custkey", F.lit(True).alias("is_hot"))
 

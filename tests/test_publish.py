@@ -5,11 +5,10 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
 
 from tourledger.plans import reports
-from tourledger.plans.run import publish_all, shared_folder
+from tourledger.plans.run import main, publish_all, shared_folder
 from tourledger.sources.board import import_board_cards
 from tourledger.sources.publish import publish, publishable
 from tourledger.sources.tables import load_table
@@ -160,6 +159,22 @@ def test_most_frequent_first_and_years_in_order(published):
     assert years == sorted(years)
 
 
+def test_a_run_from_files_gives_the_same_reports(spark, tables, published, tmp_path, monkeypatch):
+    monkeypatch.setattr("tourledger.plans.run.shared_folder", lambda _: str(tmp_path / "shared"))
+    given, arguments = tables.inputs, []
+    for name in ("tenure_raw", "level_raw", "name_harmonization", "pay_rates"):
+        path = str(tmp_path / f"{name}.csv")
+        getattr(given, name).write.option("header", True).csv(path)
+        arguments += [f"--{name.replace('_', '-')}", path]
+    out, series = tmp_path / "out", tmp_path / "series"
+    arguments += ["--out", str(out), "--series-out", str(series), "--home", given.home]
+    arguments += ["--as-of", given.as_of.isoformat(), "--first-month", given.first_month.isoformat()]
+    main([*arguments, "--slice-discipline", given.slice_discipline])
+    assert {path.name: read_csv(path) for path in out.iterdir()} == published
+    assert {path.name for path in series.iterdir()} == set(reports.SERIES)
+    assert column(read_csv(series / "headcount_by_month"), "headcount")[0] > 0
+
+
 def test_publishing_formats(make):
     df = make(
         "full_name string, notes string, Average_Years double, grand_total int, share_percentage double, n bigint, end_value string",

@@ -1,14 +1,41 @@
-"""One full run: all reports as CSV."""
+"""One full run: input tables in, all reports out as CSV."""
 
 from __future__ import annotations
 
+import argparse
+import datetime as dt
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-from tourledger.plans.reports import REPORTS
+from tourledger import names as N
+from tourledger.plans.reports import REPORTS, SERIES
 from tourledger.plans.tables import Inputs, Tables
 from tourledger.sources.publish import publish
+from tourledger.sources.schemas import INPUT_SCHEMAS, KEEP_DATE_TEXT
+from tourledger.sources.tables import load_table
+
+# First month of the monthly series unless a run names another one.
+FIRST_MONTH = dt.date(2016, 9, 1)
+
+
+def load_inputs(
+    spark: SparkSession,
+    paths: Mapping[str, str],
+    as_of: dt.date,
+    first_month: dt.date = FIRST_MONTH,
+    home: str = N.HOME_REGION,
+    slice_discipline: str = "Policy",
+) -> Inputs:
+    """Read the four input tables, CSV or Parquet, from ``paths``; keys as in ``INPUT_SCHEMAS``."""
+    loaded = {
+        name: load_table(spark, paths[name], schema, dates=name not in KEEP_DATE_TEXT)
+        for name, schema in INPUT_SCHEMAS.items()
+    }
+    return Inputs(
+        **loaded, as_of=as_of, first_month=first_month, home=home, slice_discipline=slice_discipline
+    )
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -19,10 +46,36 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tourledger-{uuid.uuid4().hex}"
 
 
-def publish_all(inputs: Inputs, out: str, folder: str | None = None) -> Tables:
-    """Write the shared tables once, then every report from them to ``out/<report>``."""
+def publish_all(
+    inputs: Inputs, out: str, folder: str | None = None, series_out: str | None = None
+) -> Tables:
+    """Write the shared tables once, then every report from them to ``out/<report>``.
+
+    ``series_out`` also publishes the series feeds.
+    """
     spark = inputs.tenure_raw.sparkSession
     tables = Tables(inputs).write_to(folder or shared_folder(spark))
     for name, report in REPORTS.items():
         publish(report(tables), f"{out.rstrip('/')}/{name}", single_file=True)
+    if series_out is not None:
+        for name, report in SERIES.items():
+            publish(report(tables), f"{series_out.rstrip('/')}/{name}", single_file=True)
     return tables
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(prog="tourledger", description="Publish all tenure reports as CSV.")
+    for name in INPUT_SCHEMAS:
+        parser.add_argument(f"--{name.replace('_', '-')}", required=True, help=f"path of the {name} table")
+    parser.add_argument("--out", required=True, help="folder for the reports")
+    parser.add_argument("--series-out", help="folder for the series feeds")
+    parser.add_argument("--as-of", required=True, type=dt.date.fromisoformat, help="date that stands for today")
+    parser.add_argument("--first-month", default=FIRST_MONTH, type=dt.date.fromisoformat)
+    parser.add_argument("--home", default=N.HOME_REGION, help="location that counts as the home region")
+    parser.add_argument("--slice-discipline", default="Policy")
+    args = parser.parse_args(argv)
+
+    spark = SparkSession.builder.appName("tourledger").getOrCreate()
+    paths = {name: getattr(args, name) for name in INPUT_SCHEMAS}
+    inputs = load_inputs(spark, paths, args.as_of, args.first_month, args.home, args.slice_discipline)
+    publish_all(inputs, args.out, series_out=args.series_out)
