@@ -165,18 +165,18 @@ def tenure_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def level_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Grade roster; some persons have no record, so that the left join has misses to keep."""
+    """Grade roster of all customers. Every 13th entry has no comma, so it is junk to the
+    roster cleanup and its person has no grades."""
     key = F.col("c_custkey")
 
     def grade(group: Column, level: Column) -> Column:
         return F.concat(F.lit("G"), group.cast("string"), F.lit("-"), level.cast("string"))
 
-    last_name = F.split_part("c_name", F.lit("#"), F.lit(2))
-    first_name = F.when(key % 50 == 0, "Custom").otherwise("Customer")
+    number = F.split_part("c_name", F.lit("#"), F.lit(2))
+    rest = _chain((key % 13 == 0, " Forecast"), (key % 50 == 0, ",Custom"), otherwise=",Customer")
     shifted = key + F.when(key % 3 == 0, 1).otherwise(0)
-    people = table(spark, sf_dir, "customer").where(key % 13 != 0)
-    rows = people.select(
-        F.concat(last_name, F.lit(","), first_name).alias("name"),
+    rows = table(spark, sf_dir, "customer").select(
+        F.concat(number, rest).alias("name"),
         F.when(key % 23 == 0, N.DATE_SENTINEL).otherwise("2016-10-03").alias("earliest_date"),
         F.lit("2022-10-01").alias("latest_date"),
         _chain((key % 10 == 0, "SU"), (key % 17 == 0, "CS-2"), otherwise=grade(key % 8, key % 4 + 1)).alias(
@@ -194,11 +194,11 @@ def level_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_harmonization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Aliases of the persons whom the roster lists under another first name."""
-    renamed = table(spark, sf_dir, "customer").where("c_custkey % 50 = 0")
-    return renamed.select(
+    """Roster name of every customer; every 50th is listed there under another first name."""
+    first_name = F.when(F.col("c_custkey") % 50 == 0, "CUSTOM ").otherwise("CUSTOMER ")
+    return table(spark, sf_dir, "customer").select(
         F.upper(F.replace("c_name", F.lit("#"), F.lit(" "))).alias("tenure_data_full_name"),
-        F.concat(F.lit("CUSTOM "), F.split_part("c_name", F.lit("#"), F.lit(2))).alias("level_data_full_name"),
+        F.concat(first_name, F.split_part("c_name", F.lit("#"), F.lit(2))).alias("level_data_full_name"),
     )
 
 

@@ -49,8 +49,9 @@ JOIN nation n2 ON n2.n_nationkey = (c_nationkey + o_orderkey % 3) % 25
 JOIN region r2 ON r2.r_regionkey = n2.n_regionkey
 """,
     "level_raw": """
-SELECT split_part(c_name, '#', 2) || ',' ||
-         CASE WHEN c_custkey % 50 = 0 THEN 'Custom' ELSE 'Customer' END AS name,
+SELECT split_part(c_name, '#', 2) ||
+         CASE WHEN c_custkey % 13 = 0 THEN ' Forecast'
+              WHEN c_custkey % 50 = 0 THEN ',Custom' ELSE ',Customer' END AS name,
   CASE WHEN c_custkey % 23 = 0 THEN '1900-01-00' ELSE '2016-10-03' END AS earliest_date,
   '2022-10-01' AS latest_date,
   CASE WHEN c_custkey % 10 = 0 THEN 'SU'
@@ -60,13 +61,13 @@ SELECT split_part(c_name, '#', 2) || ',' ||
        WHEN c_custkey % 17 = 0 THEN 'IT-3'
        ELSE 'G' || CAST((c_custkey + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END) % 8 AS VARCHAR(9)) || '-' ||
             CAST(least(c_custkey % 4 + 1 + c_custkey % 2, 4) AS VARCHAR(9)) END AS latest_group_level
-FROM customer WHERE c_custkey % 13 <> 0
+FROM customer
 UNION ALL SELECT 'Global Forecast', '2020-01-01', '2020-01-01', 'XX-1', 'XX-1'
 """,
     "name_harmonization": """
 SELECT upper(replace(c_name, '#', ' ')) AS tenure_data_full_name,
-       'CUSTOM ' || split_part(c_name, '#', 2) AS level_data_full_name
-FROM customer WHERE c_custkey % 50 = 0
+       CASE WHEN c_custkey % 50 = 0 THEN 'CUSTOM ' ELSE 'CUSTOMER ' END || split_part(c_name, '#', 2) AS level_data_full_name
+FROM customer
 """,
     "pay_rates": """
 SELECT label, min(p_retailprice) AS min, max(p_retailprice) AS max
@@ -521,6 +522,8 @@ FROM tours GROUP BY 1, 2 HAVING count(*) > 1""",
   CAST(NULL AS VARCHAR) AS role_end_date, CAST(NULL AS VARCHAR) AS cds_end_date, CAST(NULL AS VARCHAR) AS departure_type
 FROM (SELECT *, strpos(card_name, '- ') AS cut FROM board_cards
       WHERE NOT contains(card_name, 'Template') AND NOT contains(card_name, 'PLACEHOLDER'))""",
+    "spell_problems": """SELECT count(*) AS tours, count(*) - count(cds_start_date) AS without_start,
+  count(*) FILTER (cds_end_date < cds_start_date) AS reversed FROM tours""",
     "fiscal_calendar": f"""SELECT full_name, tour_number, cds_start_date, cds_start_fiscal_year,
   {_quarter("cds_start_date")} AS quarter,
   cds_start_fiscal_year || '-' || (cds_start_fiscal_year + 1) AS fiscal_year_label,

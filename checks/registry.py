@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
@@ -22,7 +23,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 PRESENT_ON = dt.date(1999, 7, 1)
 
 
+@lru_cache(maxsize=4)
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The lazy tables over one folder. Plans are kept, not data: every query runs in full."""
     return Tables(fixtures.inputs(spark, sf_dir))
 
 
@@ -76,13 +79,13 @@ def _fiscal_calendar(t: Tables) -> DataFrame:
 
 
 def _first_and_last(t: Tables) -> DataFrame:
-    first = people.earliest_by(
-        t.tours, N.PERSON, N.TOUR, {N.LOCATION_FIRST: "first_location", N.PROGRAM: "first_program"}
-    )
-    last = people.latest_by(
-        t.tours, N.PERSON, N.TOUR, {N.DISCIPLINE: "last_discipline", N.SOURCE: "last_source"}
+    return people.first_and_last_by(
+        t.tours,
+        N.PERSON,
+        N.TOUR,
+        {N.LOCATION_FIRST: "first_location", N.PROGRAM: "first_program"},
+        {N.DISCIPLINE: "last_discipline", N.SOURCE: "last_source"},
     )
-    return first.join(last, N.PERSON)
 
 
 def _tours_by_fiscal_year(t: Tables) -> DataFrame:
@@ -110,6 +113,7 @@ OPERATORS: dict[str, reports.Report] = {
     "median_pay_rates": _pay_rows,
     "cleaned_tours": lambda t: t.tours,
     "tour_salaries": _tour_salaries,
+    "spell_problems": lambda t: spells.spell_problems(t.tours),
     "fiscal_calendar": _fiscal_calendar,
     "tours_by_fiscal_year": _tours_by_fiscal_year,
     "location_by_fiscal_year": _location_by_fiscal_year,

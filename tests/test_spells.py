@@ -214,3 +214,15 @@ def test_series_slice_and_first_month(tour_rows):
     assert [r.headcount for r in series.orderBy("month").collect()] == [1, 0]
     with pytest.raises(ValueError):
         spells.monthly_headcount(df, dt.date(2020, 1, 2), AS_OF)
+
+
+def test_spell_problems(tour_rows):
+    df = tour_rows(
+        [
+            ("a", 1, "2020-01-01", "2020-01-01", "x"),
+            ("b", 1, "2020-01-02", "2020-01-01", "x"),
+            ("c", 1, None, "2020-01-01", "x"),
+            ("d", 1, "2020-01-02", None, None),
+        ]
+    )
+    assert tuple(spells.spell_problems(df).first()) == (4, 1, 1)

@@ -33,16 +33,29 @@ def first_row(order: str, *cols: str) -> Column:
     return _row_at(F.min, order, cols)
 
 
+def first_and_last_by(
+    df: DataFrame, key: str, order: str, first: dict[str, str], last: dict[str, str]
+) -> DataFrame:
+    """One row per key with the ``first`` columns at its smallest ``order`` and the ``last`` ones at its largest.
+
+    Both map input names to output names. One pass, and one struct per end.
+    """
+    ends = {"_first": (first_row, first), "_last": (last_row, last)}
+    rows = [row(order, *cols).alias(name) for name, (row, cols) in ends.items() if cols]
+    found = df.groupBy(key).agg(*rows)
+    return found.select(
+        key, *[F.col(f"{name}.{c}").alias(out) for name, (_, cols) in ends.items() for c, out in cols.items()]
+    )
+
+
 def latest_by(df: DataFrame, key: str, order: str, cols: dict[str, str]) -> DataFrame:
     """One row per key with the values at its largest ``order``; ``cols`` maps input to output names."""
-    found = df.groupBy(key).agg(last_row(order, *cols).alias("_at"))
-    return found.select(key, *[F.col(f"_at.{c}").alias(name) for c, name in cols.items()])
+    return first_and_last_by(df, key, order, {}, cols)
 
 
 def earliest_by(df: DataFrame, key: str, order: str, cols: dict[str, str]) -> DataFrame:
     """As ``latest_by``, at the smallest ``order``."""
-    found = df.groupBy(key).agg(first_row(order, *cols).alias("_at"))
-    return found.select(key, *[F.col(f"_at.{c}").alias(name) for c, name in cols.items()])
+    return first_and_last_by(df, key, order, cols, {})
 
 
 def current_staff(df: DataFrame) -> DataFrame:

@@ -36,6 +36,15 @@ def add_duration(df: DataFrame, end_col: str = N.END) -> DataFrame:
     return df.withColumns({"duration_days": days, "duration_years": days / F.lit(365)})
 
 
+def spell_problems(df: DataFrame, start: str = N.START, end: str = N.END) -> DataFrame:
+    """One row: tours in all, those without a start (no fiscal year holds them), those that end before they start."""
+    return df.agg(
+        F.count("*").alias("tours"),
+        F.count_if(F.col(start).isNull()).alias("without_start"),
+        F.count_if(F.col(end) < F.col(start)).alias("reversed"),
+    )
+
+
 def expand_fiscal_years(df: DataFrame, start: str = N.START, end: str = N.END_OR_PRESENT) -> DataFrame:
     """One row per tour and fiscal year that the tour touches.
 

@@ -49,6 +49,7 @@ def import_board_cards(df: DataFrame, run_date: dt.date | None = None, out: str
         if run_date is None:
             raise ValueError("a dated export needs run_date")
         path = f"{out.rstrip('/')}/{run_date.isoformat()}-tenure-data"
-        ordered = tours.orderBy(F.asc_nulls_last(ACTIVITY), N.PERSON)
+        # Rows of one day keep their order, which also lets one very busy day span several tasks.
+        ordered = tours.orderBy(F.asc_nulls_last(ACTIVITY), F.monotonically_increasing_id())
         ordered.write.mode("overwrite").option("header", True).csv(path)
     return tours
