@@ -151,9 +151,7 @@ def merge_tours(
     smaller step passes the last tour of each piece on to the next one. So no task holds
     all rows of a person.
     """
-    # Keys that cannot be NULL keep Spark from filtering only one side of the join below,
-    # and whole rows in the structs keep both sides on the same columns. So the shuffle
-    # under them is one and the same, and the tours are computed once.
+    # Keys that cannot be NULL keep Spark from filtering only one side of the join below.
     keyed = df.withColumns({N.PERSON: F.coalesce(N.PERSON, F.lit(_NO_NAME)), N.TOUR: F.coalesce(N.TOUR, F.lit(1))})
     order_in_tour = [F.col(N.START), F.col(N.END).isNull().alias("open"), F.col(N.END)]
     tours = (
@@ -164,21 +162,30 @@ def merge_tours(
             F.max(F.coalesce(F.col(N.DEPARTURE) == switch_value, F.lit(False))).alias("switch"),
         )
         .withColumn("piece", F.coalesce(F.floor(F.col(N.TOUR) / tours_per_piece).cast("int"), F.lit(0)))
+        .repartition(N.PERSON, "piece")
     )
 
     in_piece = Window.partitionBy(N.PERSON, "piece").orderBy(N.TOUR)
     stepped = tours.withColumn("follows", F.lag("switch").over(in_piece))
 
-    row = F.struct(N.TOUR, "switch", "first", "last")
+    # The counts are always positive. They make this side read the same columns as the
+    # other one, so both use one shuffle and the tours are computed once.
     of_person = Window.partitionBy(N.PERSON).orderBy("piece")
+    tour_and_switch = F.col(N.TOUR).cast("long") * 2 + F.col("switch").cast("int")
     pieces = (
         tours.groupBy(N.PERSON, "piece")
-        .agg(F.min(N.TOUR).alias("piece_first"), F.max(row).alias("piece_last"))
+        .agg(
+            F.min(N.TOUR).alias("piece_first"),
+            F.max(tour_and_switch).alias("piece_last"),
+            F.count("first").alias("starts"),
+            F.count("last").alias("ends"),
+        )
+        .where("starts > 0 AND ends > 0")
         .select(
             N.PERSON,
             "piece",
             F.first("piece_first").over(of_person).alias("first_tour"),
-            F.lag("piece_last.switch", 1, False).over(of_person).alias("carried"),
+            F.lag(F.col("piece_last").bitwiseAND(1) == 1, 1, False).over(of_person).alias("carried"),
         )
     )
 
