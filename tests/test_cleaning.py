@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+import statistics
 
 import pytest
 
@@ -95,6 +97,18 @@ def test_pooled_median(make):
     ]
 
 
+def test_pooled_median_against_sorting(make):
+    rng = random.Random(5)
+    sizes = {"a": 1, "b": 2, "c": 7, "hot": 300}
+    pay = [(g, rng.choice([None, 1]), float(rng.randint(1, 40)), float(rng.randint(1, 40))) for g, n in sizes.items() for _ in range(n)]
+    groups = {}
+    for group, level, low, high in pay:
+        groups.setdefault((group, level), []).extend([low, high])
+    df = make("group string, level int, min double, max double", pay)
+    found = salary.pooled_median(df, ["group", "level"], ["min", "max"])
+    assert {(r.group, r.level): r.median for r in found.collect()} == {k: statistics.median(v) for k, v in groups.items()}
+
+
 def test_salary_joins_null_levels_and_student_grades(make):
     people = make(
         "full_name string, earliest_group_level string, latest_group_level string",

@@ -5,7 +5,7 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
-from pyspark.sql.types import DateType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType, TimestampNTZType
 
 from tourledger.plans import reports
 from tourledger.plans.run import main, publish_all, shared_folder
@@ -197,6 +197,10 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert first.startswith(base) and first != second
 
 
+def test_stored_tours_leave_out_the_notes(stored, tables):
+    assert set(tables.tours.columns) - set(stored.tours.columns) == {"notes"}
+
+
 def test_load_csv_and_parquet(spark, tmp_path):
     text = "Full Name,Start Date,n\nJane Doe,2020-01-31,1\nRich Roe,1900-01-00,\n"
     (tmp_path / "t.csv").write_text(text)
@@ -210,6 +214,11 @@ def test_load_csv_and_parquet(spark, tmp_path):
     kept = load_table(spark, str(tmp_path / "t.csv"), schema, dates=False)
     assert kept.collect()[1].start_date == "1900-01-00"
 
+    (tmp_path / "other.csv").write_text("extra,Start Date,Tour Number,Full Name\nx,2020-01-31,2.0,A\ny,,two,B\n")
+    fields = [("full_name", StringType()), ("tour_number", IntegerType()), ("start_date", DateType())]
+    typed = load_table(spark, str(tmp_path / "other.csv"), StructType([StructField(*f) for f in fields]))
+    assert [tuple(r) for r in typed.collect()] == [("A", 2, dt.date(2020, 1, 31)), ("B", None, None)]
+
     stamped = spark.sql("SELECT TIMESTAMP_NTZ'2020-05-06 07:08:09' AS `Due Date`")
     stamped.write.parquet(str(tmp_path / "p"))
     schema = StructType([StructField("Due Date", TimestampNTZType())])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tourledger import names as N
 from tourledger.operators.cleaning import GROUP_RECODE, recode
@@ -15,14 +15,23 @@ STUDENT_GRADE = "SU-3"
 def pooled_median(df: DataFrame, keys: list[str], cols: Iterable[str], name: str = "median") -> DataFrame:
     """One row per key: the median of all values of ``cols`` pooled; NULL if any of them is NULL.
 
-    Equal values are counted before the percentile, so what one task holds for a group is
-    its number of distinct amounts, not its rows.
+    Equal values are counted before they are ordered, so a group costs its distinct amounts
+    and not its rows; the window spills where an aggregate would hold them all in memory.
     """
-    values = df.select(*keys, F.explode(F.array(*cols)).alias("_value"))
-    counted = values.groupBy(*keys, "_value").agg(F.count("*").alias("_n"))
-    has_null = F.max(F.col("_value").isNull())
-    median = F.percentile("_value", 0.5, F.col("_n"))
-    return counted.groupBy(*keys).agg(F.when(~has_null, median).alias(name))
+    values = df.select(*keys, F.explode(F.array(*cols)).alias("value"))
+    counted = values.groupBy(*keys, "value").agg(F.count("*").alias("n"))
+    group = Window.partitionBy(*keys)
+    in_order = group.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.withColumns(
+        {"up_to": F.sum("n").over(in_order), "total": F.sum("n").over(group)}
+    )
+
+    def at(position: Column) -> Column:
+        return F.min(F.when(F.col("up_to") > position, F.col("value")))
+
+    lower, upper = at(F.floor((F.col("total") - 1) / 2)), at(F.floor(F.col("total") / 2))
+    has_null = F.max(F.col("value").isNull())
+    return ranked.groupBy(*keys).agg(F.when(~has_null, (lower + upper) / 2).alias(name))
 
 
 def add_pooled_median(df: DataFrame, keys: list[str], cols: Iterable[str], name: str = "median") -> DataFrame:

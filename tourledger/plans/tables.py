@@ -91,7 +91,8 @@ class Tables:
         """The same tables, with the three that many reports read written to ``folder`` as Parquet.
 
         ``folder`` must be storage that all executors share. Written tables keep column
-        pruning and filter pushdown, cut the lineage and survive lost executors.
+        pruning and filter pushdown, cut the lineage and survive lost executors. No report
+        reads the notes, so they are not stored.
         """
         stored = Tables(self.inputs)
         spark = self.inputs.tenure_raw.sparkSession
@@ -101,7 +102,7 @@ class Tables:
             df.write.mode("errorifexists").parquet(path)
             return spark.read.schema(df.schema).parquet(path)
 
-        stored.tours = store(self.tours, MEASURED_TOURS_PATH)
+        stored.tours = store(self.tours.drop(N.NOTES), MEASURED_TOURS_PATH)
         stored.merged = store(stored.merged, MERGED_TOURS_PATH)
         stored.progression = store(stored.progression, PROGRESSION_PATH)
         return stored

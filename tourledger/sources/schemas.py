@@ -1,4 +1,4 @@
-"""Schemas of the input tables. CSV columns are matched by position, Parquet columns by name."""
+"""Schemas of the input tables; columns are matched by name, further columns are left out."""
 
 from __future__ import annotations
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DateType, StringType, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, DateType, IntegralType, StringType, StructType
 
 from tourledger.functions.text import snake_case_all
 
@@ -27,16 +27,25 @@ def cast_dates(df: DataFrame, suffix: str = "date") -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
+def _typed(column: str, kind: DataType) -> Column:
+    """Text as ``kind``, NULL where it is none; whole numbers may be written as ``2.0``."""
+    text = F.col(f"`{column}`")
+    number = text.try_cast("double") if isinstance(kind, IntegralType) else text
+    return number.try_cast(kind).alias(column)
+
+
 def load_table(spark: SparkSession, path: str, schema: StructType, dates: bool = True) -> DataFrame:
-    """Read a Parquet or CSV table under an explicit schema.
+    """Read the columns of ``schema`` from a Parquet or CSV table, matched by name.
 
-    The schema uses the file's own column names; Parquet columns are matched by name,
-    CSV columns by position. Names come back as snake_case and ``*date`` columns as DATE.
-    No inference pass runs. ``dates=False`` keeps date text as it is, for tables whose
-    sentinels are still to be removed.
+    Names come back as snake_case and ``*date`` columns as DATE. Nothing is inferred: CSV
+    columns are text until they are cast, and only the header line is looked at up front.
+    ``dates=False`` keeps date text as it is, for tables whose sentinels are still to be
+    removed.
     """
-    reader = spark.read.schema(schema)
-    is_csv = path.rstrip("/").endswith((".csv", ".csv.gz"))
-    df = reader.option("header", True).csv(path) if is_csv else reader.parquet(path)
-    df = normalise_names(df)
+    if path.rstrip("/").endswith((".csv", ".csv.gz")):
+        text = normalise_names(spark.read.option("header", True).csv(path))
+        fields = zip(snake_case_all(schema.names), schema.fields)
+        df = text.select(*[_typed(name, field.dataType) for name, field in fields])
+    else:
+        df = normalise_names(spark.read.schema(schema).parquet(path))
     return cast_dates(df) if dates else df
