@@ -85,3 +85,8 @@ def test_ranking_splits_hot_customers_and_equals_a_plain_window(spark, sf_dir):
     found = fixtures.ranked_orders(skewed).select("o_orderkey", "o_rank")
     assert found.count() == expected.count()
     assert found.exceptAll(expected).isEmpty()
+
+
+def test_person_years_aggregate_by_hash(stored):
+    text = plan(reports.summary_arrivals_departures_headcount_by_fiscal_year(stored))
+    assert "SortAggregate" not in text

@@ -33,6 +33,15 @@ def first_row(order: str, *cols: str) -> Column:
     return _row_at(F.min, order, cols)
 
 
+def last_flag(order: str, flag: Column) -> Column:
+    """Aggregate: a flag, never NULL, where the integer ``order`` is largest.
+
+    Order and flag share one long, which Spark aggregates by hash, where structs and text
+    would be sorted first.
+    """
+    return F.max(F.col(order).cast("long") * 2 + flag.cast("int")).bitwiseAND(1) == 1
+
+
 def first_and_last_by(
     df: DataFrame, key: str, order: str, first: dict[str, str], last: dict[str, str]
 ) -> DataFrame:
@@ -169,13 +178,13 @@ def region_flag(location: Column, home: str = N.HOME_REGION) -> Column:
     return F.when(location == home, "in_ncr").otherwise("outside_ncr")
 
 
-def person_years(df: DataFrame, *extra: Column) -> DataFrame:
-    """One row per person and fiscal year: the location of the person's last tour in that year.
+def person_years(df: DataFrame, home: str = N.HOME_REGION, *extra: Column) -> DataFrame:
+    """One row per person and fiscal year: ``outside`` the home region by the last tour's location in that year.
 
     ``extra`` aggregates are computed in the same pass.
     """
-    years = df.groupBy(N.PERSON, N.FISCAL_YEAR).agg(last_row(N.TOUR, N.LOCATION_AVERAGED).alias("_at"), *extra)
-    return years.withColumn(N.LOCATION_AVERAGED, F.col(f"_at.{N.LOCATION_AVERAGED}")).drop("_at")
+    outside = region_flag(F.col(N.LOCATION_AVERAGED), home) == "outside_ncr"
+    return df.groupBy(N.PERSON, N.FISCAL_YEAR).agg(last_flag(N.TOUR, outside).alias("outside"), *extra)
 
 
 def home_region_by_year(df: DataFrame, home: str = N.HOME_REGION) -> DataFrame:
@@ -183,9 +192,8 @@ def home_region_by_year(df: DataFrame, home: str = N.HOME_REGION) -> DataFrame:
 
     The two regions are counted side by side per year and unfolded into rows after that.
     """
-    outside = region_flag(F.col(N.LOCATION_AVERAGED), home) == "outside_ncr"
-    years = person_years(df).groupBy(N.FISCAL_YEAR).agg(
-        F.count("*").alias("total_staff_count"), F.count_if(outside).alias("outside")
+    years = person_years(df, home).groupBy(N.FISCAL_YEAR).agg(
+        F.count("*").alias("total_staff_count"), F.count_if("outside").alias("outside")
     )
     regions = F.array(
         F.struct(

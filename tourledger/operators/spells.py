@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tourledger import names as N
 from tourledger.functions.calendar import fiscal_year
 from tourledger.functions.numbers import share
+from tourledger.operators.people import last_flag
 
 # Stands in for a NULL person as a grouping key; no name holds this character.
 _NO_NAME = "\u0000"
@@ -171,12 +172,11 @@ def merge_tours(
     # The counts are always positive. They make this side read the same columns as the
     # other one, so both use one shuffle and the tours are computed once.
     of_person = Window.partitionBy(N.PERSON).orderBy("piece")
-    tour_and_switch = F.col(N.TOUR).cast("long") * 2 + F.col("switch").cast("int")
     pieces = (
         tours.groupBy(N.PERSON, "piece")
         .agg(
             F.min(N.TOUR).alias("piece_first"),
-            F.max(tour_and_switch).alias("piece_last"),
+            last_flag(N.TOUR, F.col("switch")).alias("piece_last"),
             F.count("first").alias("starts"),
             F.count("last").alias("ends"),
         )
@@ -185,7 +185,7 @@ def merge_tours(
             N.PERSON,
             "piece",
             F.first("piece_first").over(of_person).alias("first_tour"),
-            F.lag(F.col("piece_last").bitwiseAND(1) == 1, 1, False).over(of_person).alias("carried"),
+            F.lag("piece_last", 1, False).over(of_person).alias("carried"),
         )
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tourledger import names as N
 from tourledger.functions.numbers import share
-from tourledger.operators.people import person_years, region_flag
+from tourledger.operators.people import person_years
 
 
 def fiscal_summary(tour_years: DataFrame, home: str = N.HOME_REGION) -> DataFrame:
@@ -19,19 +19,18 @@ def fiscal_summary(tour_years: DataFrame, home: str = N.HOME_REGION) -> DataFram
     """
     arrived = F.max(F.coalesce(F.col(N.START_FY) == F.col(N.FISCAL_YEAR), F.lit(False)))
     departed = F.max(F.coalesce(F.col(N.END_FY) == F.col(N.FISCAL_YEAR), F.lit(False)))
-    people = person_years(tour_years, arrived.alias("arrived"), departed.alias("departed"))
+    people = person_years(tour_years, home, arrived.alias("arrived"), departed.alias("departed"))
 
-    def count_or_null(condition: Column) -> Column:
-        return F.nullif(F.count_if(condition), F.lit(0))
+    def count_or_null(flag: str) -> Column:
+        return F.nullif(F.count_if(flag), F.lit(0))
 
-    outside = region_flag(F.col(N.LOCATION_AVERAGED), home) == "outside_ncr"
     years = (
         people.groupBy(N.FISCAL_YEAR)
         .agg(
             F.count_if("arrived").alias("arrivals"),
-            count_or_null(F.col("departed")).alias("departures"),
+            count_or_null("departed").alias("departures"),
             F.count("*").alias("headcount_arrivals"),
-            count_or_null(outside).alias("outside"),
+            count_or_null("outside").alias("outside"),
         )
         .where("arrivals > 0")
     )
