@@ -24,9 +24,9 @@ FIRST_MONTH = dt.date(1995, 1, 1)
 HOME = "AMERICA"
 SLICE = "Building"
 
-# A customer with more than this share of all orders is ranked day by day. At most 999
-# customers can be that large, which bounds the broadcast below.
-HOT_SHARE = 1000
+# A customer with more than one in HOT_SHARE of all orders is ranked day by day. Fewer than
+# HOT_SHARE customers can be that large, which bounds the broadcast below.
+HOT_SHARE = 10_000
 
 
 def _schema(**types) -> StructType:

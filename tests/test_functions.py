@@ -32,6 +32,14 @@ def test_fiscal_calendar(spark, date, year, quarter):
     assert tuple(row) == (year, quarter, label, f"{label}-{quarter}", year)
 
 
+def test_fiscal_year_of_every_day(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'2019-01-01', DATE'2022-12-31')) AS d")
+    found = days.select("d", calendar.fiscal_year(F.col("d")).alias("y"), calendar.fiscal_quarter(F.col("d")).alias("q"))
+    for row in found.collect():
+        assert row.y == (row.d.year if row.d.month >= 4 else row.d.year - 1)
+        assert row.q == f"Q{(row.d.month - 4) % 12 // 3 + 1}"
+
+
 def test_null_dates_and_labels(spark):
     nothing = F.lit(None).cast("date")
     row = spark.range(1).select(

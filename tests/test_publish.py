@@ -11,6 +11,7 @@ from tourledger.plans import reports
 from tourledger.plans.run import main, publish_all, shared_folder
 from tourledger.sources.board import import_board_cards
 from tourledger.sources.publish import publish, publishable
+from tourledger.sources.schemas import BOARD_CARDS
 from tourledger.sources.tables import load_table
 
 # Report columns in their published order.
@@ -254,3 +255,11 @@ def test_board_cards(make, tmp_path):
     assert [row[0] for row in written[1:]] == ["Rich Roe", "Jane Doe", "Ann Poe"]
     with pytest.raises(ValueError):
         import_board_cards(cards, out=str(tmp_path))
+
+
+def test_board_cards_from_a_file(spark, tmp_path):
+    lines = ["Card Name,Labels,Due Date,List Name,Last Activity Date", "Jane Doe - Dev,x,2022-01-02,Done,2022-01-03"]
+    (tmp_path / "cards.csv").write_text("\n".join(lines))
+    out = import_board_cards(load_table(spark, str(tmp_path / "cards.csv"), BOARD_CARDS))
+    row = out.first()
+    assert (row.full_name, row.role, row.cds_start_date) == ("Jane Doe", "Dev", dt.date(2022, 1, 2))

@@ -91,7 +91,7 @@ def test_pivot_finds_columns_by_itself(make):
     assert ordered(fixed) == [("x", "33% (1)", "67% (2)")]
     found = shares.share_pivot(within, "o", "i", "n", "share")
     assert found.columns == ["o", "new", "p", "q"]
-    assert ordered(found)[0] == (None, "0%", "100% (1)", "0%")
+    assert ordered(found)[-1] == (None, "0%", "100% (1)", "0%")
 
 
 def test_distinct_rows_with_nulls_count(make):

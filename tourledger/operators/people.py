@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tourledger import names as N
 from tourledger.functions.numbers import share
-from tourledger.operators.shares import with_total
+from tourledger.operators.shares import ascending, with_total
 
 MOST_RECENT_START = "most_recent_start_date"
 
@@ -99,7 +99,7 @@ def headcount_by_latest_discipline(df: DataFrame) -> DataFrame:
     return (
         with_total(counts, "count_by_discipline")
         .withColumn("percentage", percentage)
-        .orderBy(F.desc("count_by_discipline"), N.DISCIPLINE)
+        .orderBy(F.desc("count_by_discipline"), *ascending(N.DISCIPLINE))
     )
 
 
@@ -147,7 +147,7 @@ def early_turnover_by_discipline(departures: DataFrame, arrivals: DataFrame) ->
         counts.join(arrived, F.col(f"d.{N.DISCIPLINE}").eqNullSafe(F.col(f"a.{N.DISCIPLINE}")), "left")
         .select("d.*", "arrivals_by_discipline_count")
         .withColumn("departed_under_1_year_percentage", F.bround(fraction, 4))
-        .orderBy(F.desc("departed_under_1_year_percentage"), N.DISCIPLINE)
+        .orderBy(F.desc("departed_under_1_year_percentage"), *ascending(N.DISCIPLINE))
     )
 
 
@@ -163,7 +163,7 @@ def tour_counts(df: DataFrame) -> DataFrame:
 def repeat_tours(df: DataFrame, by: str, name: str) -> DataFrame:
     """Persons with more than one tour, by an attribute of their first tour."""
     counts = tour_counts(df).where("highest_tour_number > 1").groupBy(by).agg(F.count("*").alias(name))
-    return counts.orderBy(F.desc(name), by)
+    return counts.orderBy(F.desc(name), *ascending(by))
 
 
 def program_tour_numbers(df: DataFrame, program: str = N.STUDENT) -> DataFrame:
@@ -238,7 +238,7 @@ def average_duration(df: DataFrame, by: str | None = None, name: str = "average_
     if by is None:
         return df.agg(mean)
     groups = df.groupBy(by).agg(mean, F.count("*").alias("arrivals_count"))
-    return groups.orderBy(F.desc(name), by)
+    return groups.orderBy(F.desc(name), *ascending(by))
 
 
 def duration_quantiles(df: DataFrame, probs: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0)) -> DataFrame:

@@ -11,6 +11,7 @@ from tourledger.functions.numbers import share
 from tourledger.operators.cleaning import join_with_aliases
 from tourledger.operators.people import latest_by
 from tourledger.operators.salary import attach_salary
+from tourledger.operators.shares import ascending
 
 
 def _flag(condition: Column) -> Column:
@@ -79,7 +80,7 @@ def promotion_totals(
     if nonzero:
         out = out.where("percentage <> 0")
     if sort and by is not None:
-        out = out.orderBy(F.desc("percentage"), F.desc(count), by)
+        out = out.orderBy(F.desc("percentage"), F.desc(count), *ascending(by))
     return out
 
 

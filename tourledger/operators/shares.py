@@ -14,6 +14,11 @@ from tourledger import names as N
 from tourledger.functions.numbers import percent_text, share
 
 
+def ascending(*cols: str) -> list[Column]:
+    """Sort keys in ascending order with the NULL group last."""
+    return [F.asc_nulls_last(c) for c in cols]
+
+
 def count_rows(df: DataFrame, name: str) -> DataFrame:
     """One row: the number of rows."""
     return df.agg(F.count("*").alias(name))
@@ -27,7 +32,7 @@ def count_distinct_rows(df: DataFrame, cols: Sequence[str], name: str) -> DataFr
 def distinct_persons_by(df: DataFrame, keys: Sequence[str], name: str, person: str = N.PERSON) -> DataFrame:
     """Distinct persons per key, NULL keys included; in key order."""
     pairs = df.select(person, *keys).distinct()
-    return pairs.groupBy(*keys).agg(F.count("*").alias(name)).orderBy(*keys)
+    return pairs.groupBy(*keys).agg(F.count("*").alias(name)).orderBy(*ascending(*keys))
 
 
 def with_total(counts: DataFrame, count: str, total: str = "total_count") -> DataFrame:
@@ -60,7 +65,7 @@ def category_share(
     )
     if combined is not None:
         out = out.withColumn(combined, percent_text(F.col(percentage), F.col(count)))
-    return out.orderBy(F.desc(count), category)
+    return out.orderBy(F.desc(count), *ascending(category))
 
 
 def share_within(df: DataFrame, outer: str, inner: str, count: str, percentage: str) -> DataFrame:
@@ -70,7 +75,7 @@ def share_within(df: DataFrame, outer: str, inner: str, count: str, percentage:
     return (
         counts.withColumn("total_count", total)
         .withColumn(percentage, share(F.col(count), F.col("total_count")))
-        .orderBy(outer, inner)
+        .orderBy(*ascending(outer, inner))
     )
 
 
@@ -94,7 +99,7 @@ def share_pivot(
     pivot = cells.groupBy(outer).pivot(inner, None if values is None else list(values)).agg(F.first("cell"))
     columns = [c for c in pivot.columns if c != outer]
     wide = pivot.select(outer, *[F.coalesce(F.col(f"`{c}`"), F.lit("0%")).alias(c) for c in columns])
-    return (wide if drop is None else wide.where(F.col(outer) != drop)).orderBy(outer)
+    return (wide if drop is None else wide.where(F.col(outer) != drop)).orderBy(*ascending(outer))
 
 
 def duration_bin(years: Column) -> Column:
@@ -129,7 +134,7 @@ def histogram(df: DataFrame, col: str, width: float, name: str = "n") -> DataFra
     Bins are centred on multiples of ``width`` and closed on the right.
     """
     centre = F.ceil((F.col(col) - F.lit(width / 2)) / F.lit(width)) * F.lit(width)
-    return df.groupBy(centre.alias("bin")).agg(F.count("*").alias(name)).orderBy("bin")
+    return df.groupBy(centre.alias("bin")).agg(F.count("*").alias(name)).orderBy(*ascending("bin"))
 
 
 def apply_labels(df: DataFrame, col: str, labels: dict[str, str], default: str | None = None) -> DataFrame:
@@ -143,4 +148,4 @@ def proportion_series(df: DataFrame, year: str, category: str) -> DataFrame:
     """Count and two-digit proportion of each category within its year."""
     counts = df.groupBy(year, category).agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy(year))
-    return counts.withColumn("prop", F.bround(share(F.col("n"), total), 2)).orderBy(year, category)
+    return counts.withColumn("prop", F.bround(share(F.col("n"), total), 2)).orderBy(*ascending(year, category))
