@@ -158,18 +158,18 @@ source_quotients AS (
 ), turns AS (
   SELECT q.*, CAST(least(coalesce(w.quota, 0) * 16, q.shard_size * 3) AS BIGINT) AS tokens,
     CAST('0x' || substr(md5('start 1|' || coalesce(q.source, '') || '|' || CAST(q.shard AS VARCHAR)), 1, 8) AS BIGINT)
-      % CAST(greatest(1, floor(q.shard_size / 16.0)) AS BIGINT) * 16 AS start
+      % CAST(greatest(1, floor(q.shard_size / 16.0)) AS BIGINT) * 16 AS run_start
   FROM quotas q LEFT JOIN shard_won w ON w.source IS NOT DISTINCT FROM q.source AND w.shard = q.shard
 ), placed AS (
   SELECT d.*, CAST(coalesce(sum(size * copies) OVER (PARTITION BY source, shard ORDER BY ord, doc_id NULLS FIRST, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS begin_at FROM dealt d
 ), copied AS (
-  SELECT *, begin_at + (unnest(range(1, copies + 1)) - 1) * size AS at FROM placed
+  SELECT *, begin_at + (unnest(range(1, copies + 1)) - 1) * size AS place FROM placed
 )
 SELECT c.doc_id, c.size, t.source_size, t.target,
   CAST(tokens // greatest(shard_size, 1) * size
-    + greatest(0, least(at + size, least(start + tokens % greatest(shard_size, 1), shard_size)) - greatest(at, start))
-    + greatest(0, least(at + size, greatest(0, start + tokens % greatest(shard_size, 1) - shard_size)) - greatest(at, 0)) AS BIGINT) AS taken
+    + greatest(0, least(place + size, least(run_start + tokens % greatest(shard_size, 1), shard_size)) - greatest(place, run_start))
+    + greatest(0, least(place + size, greatest(0, run_start + tokens % greatest(shard_size, 1) - shard_size)) - greatest(place, 0)) AS BIGINT) AS taken
 FROM copied c JOIN turns t ON c.source IS NOT DISTINCT FROM t.source AND c.shard = t.shard
 """
 
@@ -203,8 +203,8 @@ FROM p LEFT JOIN f ON p.html = f.html
 
 TOP_K = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT DISTINCT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
