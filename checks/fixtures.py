@@ -24,9 +24,6 @@ FIRST_MONTH = dt.date(1995, 1, 1)
 HOME = "AMERICA"
 SLICE = "Building"
 
-# A customer with more than one in HOT_SHARE of all orders is ranked day by day. Fewer than
-# HOT_SHARE customers can be that large, which bounds the broadcast below.
-HOT_SHARE = 10_000
 
 
 def _schema(**types) -> StructType:
@@ -76,32 +73,17 @@ def _chain(*branches: tuple[Column, object], otherwise: object = None) -> Column
 def ranked_orders(orders: DataFrame) -> DataFrame:
     """Orders with ``o_rank``, their position among the customer's orders.
 
-    Ordinary customers are ranked in one window each. The rows of a customer with a large
-    share of all orders are ranked per day, and the number of earlier orders is added, so
-    such a customer spreads over as many tasks as there are days.
+    Orders are ranked per customer and day and the number of earlier orders is added, so a
+    customer with any share of them spreads over as many tasks as there are days.
     """
-    counts = orders.where("o_custkey IS NOT NULL").groupBy("o_custkey").count()
-    total = counts.agg(F.sum("count")).scalar()
-    hot = counts.where(F.col("count") * HOT_SHARE > total).select("o_custkey", F.lit(True).alias("is_hot"))
-
-    per_day = orders.join(F.broadcast(hot), "o_custkey").groupBy("o_custkey", F.col("o_orderdate").alias("piece"))
-    earlier_days = Window.partitionBy("o_custkey").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = (
-        per_day.agg(F.count("*").alias("n"))
-        .withColumn("earlier", F.sum("n").over(earlier_days))
-        .drop("n")
-    )
-
-    in_piece = Window.partitionBy("o_custkey", "piece").orderBy("o_orderdate", "o_orderkey")
-    rank = F.col("in_piece") + F.coalesce("earlier", F.lit(0))
-    return (
-        orders.join(F.broadcast(hot), "o_custkey", "left")
-        .withColumn("piece", F.when(F.col("is_hot"), F.col("o_orderdate")))
-        .withColumn("in_piece", F.row_number().over(in_piece))
-        .join(earlier, ["o_custkey", "piece"], "left")
-        .withColumn("o_rank", rank.cast("int"))
-        .drop("is_hot", "piece", "in_piece", "earlier")
-    )
+    per_day = orders.groupBy("o_custkey", "o_orderdate").agg(F.count("*").alias("n"))
+    earlier_days = Window.partitionBy("o_custkey").orderBy("o_orderdate").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = per_day.select("o_custkey", "o_orderdate", F.coalesce(F.sum("n").over(earlier_days), F.lit(0)).alias("earlier"))
+    in_day = Window.partitionBy("o_custkey", "o_orderdate").orderBy("o_orderkey")
+    ranked, day = orders.withColumn("in_day", F.row_number().over(in_day)).alias("o"), earlier.alias("e")
+    same = F.col("o.o_custkey").eqNullSafe(F.col("e.o_custkey")) & F.col("o.o_orderdate").eqNullSafe(F.col("e.o_orderdate"))
+    rank = (F.col("in_day") + F.col("earlier")).cast("int")
+    return ranked.join(day, same).select("o.*", rank.alias("o_rank")).drop("in_day")
 
 
 def tenure_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,6 +107,7 @@ def tenure_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (order % 7 == 1, "to_other_government"),
         (order % 7 == 2, "to_private_sector"),
         (order % 7 == 3, "to_non_profit"),
+        ((order % 7 == 4) & (order % 4 == 0), "retired"),  # a type without a place of its own
         (order % 7 == 4, "to_academia"),
         (order % 7 == 5, N.SWITCH),
     )
@@ -194,9 +177,11 @@ def level_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def name_harmonization(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Roster name of every customer; every 50th is listed there under another first name."""
+    """Roster name of the customers; every 50th is listed there under another first name. Every
+    third, but for those, has no alias and is found under its own name."""
     first_name = F.when(F.col("c_custkey") % 50 == 0, "CUSTOM ").otherwise("CUSTOMER ")
-    return table(spark, sf_dir, "customer").select(
+    listed = table(spark, sf_dir, "customer").where("c_custkey % 50 = 0 OR c_custkey % 3 <> 0")
+    return listed.select(
         F.upper(F.replace("c_name", F.lit("#"), F.lit(" "))).alias("tenure_data_full_name"),
         F.concat(first_name, F.split_part("c_name", F.lit("#"), F.lit(2))).alias("level_data_full_name"),
     )

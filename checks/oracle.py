@@ -25,6 +25,7 @@ SELECT replace(c_name, '#', ' ') AS full_name,
        WHEN o_orderkey % 7 = 1 THEN 'to_other_government'
        WHEN o_orderkey % 7 = 2 THEN 'to_private_sector'
        WHEN o_orderkey % 7 = 3 THEN 'to_non_profit'
+       WHEN o_orderkey % 7 = 4 AND o_orderkey % 4 = 0 THEN 'retired'
        WHEN o_orderkey % 7 = 4 THEN 'to_academia'
        WHEN o_orderkey % 7 = 5 THEN 'to_cds_full_time' END AS departure_type,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'from_private_sector'
@@ -67,7 +68,7 @@ UNION ALL SELECT 'Global Forecast', '2020-01-01', '2020-01-01', 'XX-1', 'XX-1'
     "name_harmonization": """
 SELECT upper(replace(c_name, '#', ' ')) AS tenure_data_full_name,
        CASE WHEN c_custkey % 50 = 0 THEN 'CUSTOM ' ELSE 'CUSTOMER ' END || split_part(c_name, '#', 2) AS level_data_full_name
-FROM customer
+FROM customer WHERE c_custkey % 50 = 0 OR c_custkey % 3 <> 0
 """,
     "pay_rates": """
 SELECT label, min(p_retailprice) AS min, max(p_retailprice) AS max
@@ -386,8 +387,12 @@ FROM merged WHERE {where} GROUP BY 1"""
 
 
 _NOT_STUDENTS = "earliest_group <> 'SU'"
-_BY_DISCIPLINE = ("to_other_department", "to_other_government", "to_private_sector", "to_non_profit", "to_academia", "unknown_departure_type")
-_BY_SOURCE = ("to_academia", "to_non_profit", "to_other_department", "to_other_government", "to_private_sector", "unknown_departure_type")
+_REPEATED = """SELECT 'roster' AS lookup, full_name_uc AS key, count(*) AS row_count FROM roster GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'aliases', tenure_data_full_name, count(*) FROM name_harmonization GROUP BY 2 HAVING count(*) > 1
+UNION ALL SELECT 'pay', concat_ws(' ', "group", level), count(*)
+FROM (SELECT DISTINCT "group", level, median FROM pay_median) GROUP BY "group", level HAVING count(*) > 1"""
+_BY_DISCIPLINE = ("to_other_department", "to_other_government", "to_private_sector", "to_non_profit", "to_academia", "unknown_departure_type", "retired")
+_BY_SOURCE = ("to_academia", "to_non_profit", "to_other_department", "to_other_government", "to_private_sector", "unknown_departure_type", "retired")
 _REGION_COLUMN = "in_or_out_of_national_capital_region"
 
 _BODIES = {
@@ -504,8 +509,11 @@ FROM (SELECT unnest(quantile_cont(duration_years, [0, 0.25, 0.5, 0.75, 1])) AS v
   SELECT full_name_uc FROM roster EXCEPT SELECT upper(full_name) FROM tours)
 UNION ALL SELECT full_name_uc, 'a' AS missing_from FROM (
   SELECT upper(full_name) AS full_name_uc FROM tours EXCEPT SELECT full_name_uc FROM roster)""",
-    "duplicate_lookup_keys": """SELECT location_initial, discipline_initial, count(*) AS row_count
-FROM tours GROUP BY 1, 2 HAVING count(*) > 1""",
+    "duplicate_lookup_keys": f"SELECT * FROM ({_REPEATED})",
+    "data_quality": f"""SELECT 'repeated keys in ' || l AS check_name, (SELECT count(*) FROM ({_REPEATED}) WHERE lookup = l) AS problems
+FROM (SELECT unnest(['aliases', 'roster', 'pay']) AS l)
+UNION ALL SELECT 'tours without a start', count(*) FILTER (cds_start_date IS NULL) FROM tours
+UNION ALL SELECT 'tours that end before they start', count(*) FILTER (cds_end_date < cds_start_date) FROM tours""",
     "parsed_pay_rates": "SELECT * FROM pay",
     "median_pay_rates": 'SELECT "group", level, min, max, round_even(median, 6) AS median FROM pay_median',
     "cleaned_tours": "SELECT * REPLACE (round_even(duration_years, 9) AS duration_years) FROM tours",

@@ -13,7 +13,7 @@ from checks import fixtures
 from tourledger import names as N
 from tourledger.functions import calendar
 from tourledger.operators import cleaning, people, salary, spells
-from tourledger.plans import reports
+from tourledger.plans import quality, reports
 from tourledger.plans.tables import Tables
 from tourledger.sources.board import import_board_cards
 from tourledger.sources.publish import publishable
@@ -108,7 +108,8 @@ OPERATORS: dict[str, reports.Report] = {
     "clean_roster": lambda t: t.roster,
     "tours_with_roster": _with_roster,
     "name_mismatches": lambda t: cleaning.name_mismatches(*_roster_names(t)),
-    "duplicate_lookup_keys": lambda t: cleaning.duplicate_keys(t.tours, [N.LOCATION_FIRST, N.DISCIPLINE]),
+    "duplicate_lookup_keys": quality.duplicate_lookup_keys,
+    "data_quality": quality.quality_report,
     "parsed_pay_rates": lambda t: cleaning.parse_pay_rates(t.inputs.pay_rates),
     "median_pay_rates": _pay_rows,
     "cleaned_tours": lambda t: t.tours,

@@ -16,6 +16,7 @@ from tourledger.sources.tables import load_table
 
 # Report columns in their published order.
 HEADERS = {
+    "quality": "check_name,problems",
     "arrivals": "total_onboarded",
     "arrivals_by_discipline": "discipline_initial,arrivals_by_discipline_count,total_count,percentage",
     "arrivals_by_fiscal_year": "cds_start_fiscal_year,arrivals",
@@ -54,8 +55,8 @@ HEADERS = {
     "new_hire_turnover_under_1_year": "departed_under_1_year,departure_count,total_onboarded,departure_percentage",
     "new_hire_turnover_under_1_year_by_discipline": "discipline_initial,departed_under_1_year_count,total_departure_count,arrivals_by_discipline_count,departed_under_1_year_percentage",
     "summary_arrivals_departures_headcount_by_fiscal_year": "fiscal_year,arrivals,departures,new_hires_percentage,replacement_hires_percentage,headcount_arrivals,headcount_adjusted,location_outside_ncr_percentage,headcount_lagged_average,turnover_rate_percentage",
-    "summary_departure_type_by_arrival_source_percentages": "arrival_source,to_academia,to_non_profit,to_other_department,to_other_government,to_private_sector,unknown_departure_type",
-    "summary_departure_type_by_discipline_percentages": "discipline_initial,to_other_department,to_other_government,to_private_sector,to_non_profit,to_academia,unknown_departure_type",
+    "summary_departure_type_by_arrival_source_percentages": "arrival_source,to_academia,to_non_profit,to_other_department,to_other_government,to_private_sector,unknown_departure_type,retired",
+    "summary_departure_type_by_discipline_percentages": "discipline_initial,to_other_department,to_other_government,to_private_sector,to_non_profit,to_academia,unknown_departure_type,retired",
     "tenure_average": "average_tenure_years",
     "tenure_headcount_bins": "duration_years_bins,headcount",
 }

@@ -87,13 +87,23 @@ def test_pivot_finds_columns_by_itself(make):
     df = make("o string, i string", [("x", "p")] * 2 + [("x", "q"), ("y", "new"), (None, "p")])
     within = shares.share_within(df, "o", "i", "n", "share")
     fixed = shares.share_pivot(within, "o", "i", "n", "share", ["q", "p"], drop="y")
-    assert fixed.columns == ["o", "q", "p"]
-    assert ordered(fixed) == [("x", "33% (1)", "67% (2)")]
+    assert fixed.columns == ["o", "q", "p", "new"]
+    assert ordered(fixed) == [("x", "33% (1)", "67% (2)", "0%")]
     found = shares.share_pivot(within, "o", "i", "n", "share")
     assert found.columns == ["o", "new", "p", "q"]
     assert ordered(found)[-1] == (None, "0%", "100% (1)", "0%")
 
 
+def test_pivot_keeps_every_value(make):
+    """Cells of a row add up to the row's total, also with values that no list knows."""
+    rows = [("x", "to_other_department")] * 3 + [("x", "retired")] * 2 + [("x", "to_moon")] * 4 + [("y", "retired")]
+    within = shares.share_within(make("o string, i string", rows), "o", "i", "n", "share")
+    wide = shares.share_pivot(within, "o", "i", "n", "share", names.DEPARTURE_TYPES)
+    assert wide.columns == ["o", *names.DEPARTURE_TYPES, "to_moon", "retired"]
+    totals = {row[0]: sum(int(cell.partition("(")[2].rstrip(")") or 0) for cell in row[1:]) for row in wide.collect()}
+    assert totals == {"x": 9, "y": 1}
+
+
 def test_distinct_rows_with_nulls_count(make):
     df = make("a string, b string", [("x", None), ("x", None), ("x", "y"), (None, None)])
     assert shares.count_distinct_rows(df, ["a", "b"], "n").first()[0] == 3

@@ -34,10 +34,10 @@ def person_progression(
     """Persons with a known latest level: grades, median pay, promotion flags, last merged duration.
 
     Grades belong to persons, so tours are folded to one row per person before the three
-    lookups are joined; the large table is never shuffled by grade or alias. ``pay`` has one
-    median per grade.
+    lookups are joined; the large table is never shuffled by grade or alias. Rows repeated in
+    the lookups count once. ``pay`` has one median per grade.
     """
-    people = attach_salary(join_with_aliases(latest_attributes(tours), aliases, roster), pay).distinct()
+    people = attach_salary(join_with_aliases(latest_attributes(tours), aliases.distinct(), roster.distinct()), pay)
     group_changed = _flag(F.col("earliest_group") != F.col("latest_group"))
     level_up = _flag(F.col("latest_level") > F.col("earliest_level"))
     flagged = people.where(F.col("latest_level").isNotNull()).withColumns(

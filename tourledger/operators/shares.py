@@ -85,20 +85,25 @@ def share_pivot(
     inner: str,
     count: str,
     percentage: str,
-    values: Sequence[str] | None = None,
+    known: Sequence[str] = (),
     drop: str | None = None,
 ) -> DataFrame:
     """Pivot of a ``share_within`` table into ``67% (22)`` cells, ``0%`` where a pair is missing.
 
-    The share is rounded to four digits first and to whole percent after that. ``values``
-    fixes the columns and saves the job that looks for them; without it every value found
-    gets a column. ``drop`` leaves out one outer value, and the NULL group with it.
+    The share is rounded to four digits first and to whole percent after that. Every value
+    found gets a column: first those in ``known``, in that order and also where absent, then
+    other destinations (``to_...``), then the rest. More values than
+    ``spark.sql.pivotMaxValues`` are an error. ``drop`` leaves out one outer value, and the
+    NULL group with it.
     """
     text = percent_text(F.bround(percentage, 4), F.col(count))
     cells = df.select(outer, inner, text.alias("cell"))
-    pivot = cells.groupBy(outer).pivot(inner, None if values is None else list(values)).agg(F.first("cell"))
-    columns = [c for c in pivot.columns if c != outer]
-    wide = pivot.select(outer, *[F.coalesce(F.col(f"`{c}`"), F.lit("0%")).alias(c) for c in columns])
+    pivot = cells.groupBy(outer).pivot(inner).agg(F.first("cell"))
+    found = pivot.columns[1:]
+    others = sorted((c for c in found if c not in known), key=lambda c: (not c.startswith("to_"), c))
+    none = F.lit("0%")
+    cell = {c: F.coalesce(F.col(f"`{c}`"), none) for c in found}
+    wide = pivot.select(outer, *[cell.get(c, none).alias(c) for c in (*known, *others)])
     return (wide if drop is None else wide.where(F.col(outer) != drop)).orderBy(*ascending(outer))
 
 

@@ -133,7 +133,7 @@ def summary_departure_type_by_arrival_source_percentages(t: Tables) -> DataFrame
 
 
 def departure_type_joined_from_outside_government(t: Tables) -> DataFrame:
-    outside = t.departures.where(F.col(N.SOURCE).isin(*N.OUTSIDE_GOVERNMENT_SOURCES))
+    outside = t.departures.where(F.col(N.SOURCE).isin(*t.inputs.outside_government))
     return shares.category_share(outside, N.DEPARTURE, "departure_count", "departure_type_percentage")
 
 

@@ -6,15 +6,17 @@ import argparse
 import datetime as dt
 import uuid
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tourledger import names as N
+from tourledger.plans.quality import quality_report
 from tourledger.plans.reports import REPORTS, SERIES
 from tourledger.plans.tables import Inputs, Tables
 from tourledger.sources.publish import publish
 from tourledger.sources.schemas import INPUT_SCHEMAS, KEEP_DATE_TEXT
-from tourledger.sources.tables import load_table
+from tourledger.sources.tables import load_table, unparsed_texts
 
 # First month of the monthly series unless a run names another one.
 FIRST_MONTH = dt.date(2016, 9, 1)
@@ -46,15 +48,43 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tourledger-{uuid.uuid4().hex}"
 
 
+def count_unparsed(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
+    """The values of all inputs, by table and column, that are NULL once they are typed."""
+    found = [
+        unparsed_texts(spark, paths[name], schema, dates=name not in KEEP_DATE_TEXT).withColumn(
+            "column_name", F.concat(F.lit(f"{name}."), "column_name")
+        )
+        for name, schema in INPUT_SCHEMAS.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove the shared tables that a run has written to ``folder``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def publish_all(
-    inputs: Inputs, out: str, folder: str | None = None, series_out: str | None = None
+    inputs: Inputs,
+    out: str,
+    folder: str | None = None,
+    series_out: str | None = None,
+    strict: bool = False,
+    unparsed: DataFrame | None = None,
 ) -> Tables:
     """Write the shared tables once, then every report from them to ``out/<report>``.
 
-    ``series_out`` also publishes the series feeds.
+    ``series_out`` also publishes the series feeds. ``out/quality`` tells what the inputs lack,
+    with the counts in ``unparsed``; with ``strict`` any problem is an error once it is written.
     """
     spark = inputs.tenure_raw.sparkSession
     tables = Tables(inputs).write_to(folder or shared_folder(spark))
+    publish(quality_report(tables, unparsed), f"{out.rstrip('/')}/quality", single_file=True)
+    if strict:
+        wrong = spark.read.option("header", True).csv(f"{out.rstrip('/')}/quality").where("cast(problems AS bigint) > 0")
+        if problems := [f"{row.check_name}: {row.problems}" for row in wrong.collect()]:
+            raise ValueError("; ".join(problems))
     for name, report in REPORTS.items():
         publish(report(tables), f"{out.rstrip('/')}/{name}", single_file=True)
     if series_out is not None:
@@ -73,9 +103,14 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--first-month", default=FIRST_MONTH, type=dt.date.fromisoformat)
     parser.add_argument("--home", default=N.HOME_REGION, help="location that counts as the home region")
     parser.add_argument("--slice-discipline", default="Policy")
+    parser.add_argument("--strict", action="store_true", help="fail if the quality report has problems")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tourledger").getOrCreate()
     paths = {name: getattr(args, name) for name in INPUT_SCHEMAS}
     inputs = load_inputs(spark, paths, args.as_of, args.first_month, args.home, args.slice_discipline)
-    publish_all(inputs, args.out, series_out=args.series_out)
+    folder = shared_folder(spark)
+    try:
+        publish_all(inputs, args.out, folder, args.series_out, args.strict, count_unparsed(spark, paths))
+    finally:
+        remove_folder(spark, folder)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -44,14 +45,15 @@ class Inputs:
     first_month: dt.date
     home: str = N.HOME_REGION
     slice_discipline: str = "Policy"
+    outside_government: Sequence[str] = N.OUTSIDE_GOVERNMENT_SOURCES
 
 
 class Tables:
     """Lazy DataFrames derived from ``Inputs``; each is defined when first asked for.
 
     Grade data joins persons, not tours, so tour reports never pay for those joins. That
-    equals joining every tour as long as the lookups' keys are unique, which
-    ``duplicate_keys`` checks.
+    equals joining every tour as long as the lookups' keys are unique, which a run's
+    ``quality_report`` tells.
     """
 
     def __init__(self, inputs: Inputs) -> None:

@@ -51,5 +51,5 @@ def import_board_cards(df: DataFrame, run_date: dt.date | None = None, out: str
         path = f"{out.rstrip('/')}/{run_date.isoformat()}-tenure-data"
         # Rows of one day keep their order, which also lets one very busy day span several tasks.
         ordered = tours.orderBy(F.asc_nulls_last(ACTIVITY), F.monotonically_increasing_id())
-        ordered.write.mode("overwrite").option("header", True).csv(path)
+        ordered.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return tours

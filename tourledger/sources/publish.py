@@ -35,5 +35,5 @@ def publish(df: DataFrame, path: str, single_file: bool = False) -> DataFrame:
     out = publishable(df)
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
     return df

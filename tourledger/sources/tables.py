@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DataType, DateType, IntegralType, StringType, StructType
+from pyspark.sql.types import DataType, DateType, IntegralType, StringType, StructField, StructType
 
 from tourledger.functions.text import snake_case_all
 
@@ -27,25 +27,61 @@ def cast_dates(df: DataFrame, suffix: str = "date") -> DataFrame:
     return df.withColumns(casts) if casts else df
 
 
-def _typed(column: str, kind: DataType) -> Column:
-    """Text as ``kind``, NULL where it is none; whole numbers may be written as ``2.0``."""
-    text = F.col(f"`{column}`")
-    number = text.try_cast("double") if isinstance(kind, IntegralType) else text
-    return number.try_cast(kind).alias(column)
+def _typed(field: StructField, kind: DataType) -> Column:
+    """A column as ``kind``, NULL where it is none; whole numbers may be written as ``2.0``."""
+    column = F.col(f"`{field.name}`")
+    if field.dataType == kind:
+        return column
+    if isinstance(kind, IntegralType) and isinstance(field.dataType, StringType):
+        column = column.try_cast("double")
+    return column.try_cast(kind).alias(field.name)
 
 
-def load_table(spark: SparkSession, path: str, schema: StructType, dates: bool = True) -> DataFrame:
+def _columns(spark: SparkSession, path: str, schema: StructType, fmt: str | None) -> tuple[DataFrame, list[tuple[StructField, DataType]]]:
+    """The table under snake_case names, and the columns of ``schema`` as they are in it with
+    the types that they ought to have."""
+    if fmt is None:
+        fmt = "csv" if path.rstrip("/").endswith((".csv", ".csv.gz")) else "parquet"
+    if fmt == "csv":
+        # Quoted text may hold commas, doubled quotes and line breaks.
+        read = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True)
+        df = normalise_names(read.csv(path))
+    elif fmt == "parquet":
+        df = normalise_names(spark.read.parquet(path))
+    else:
+        raise ValueError(f"unknown format {fmt!r}: csv or parquet")
+    wanted = dict(zip(snake_case_all(schema.names), (field.dataType for field in schema.fields)))
+    found = {field.name: field for field in df.schema.fields}
+    if missing := [name for name in wanted if name not in found]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return df, [(found[name], kind) for name, kind in wanted.items()]
+
+
+def load_table(
+    spark: SparkSession, path: str, schema: StructType, dates: bool = True, fmt: str | None = None
+) -> DataFrame:
     """Read the columns of ``schema`` from a Parquet or CSV table, matched by name.
 
     Names come back as snake_case and ``*date`` columns as DATE. Nothing is inferred: CSV
-    columns are text until they are cast, and only the header line is looked at up front.
-    ``dates=False`` keeps date text as it is, for tables whose sentinels are still to be
-    removed.
+    columns are text until they are cast, Parquet columns of other types are cast too, and a
+    missing column is an error. ``dates=False`` keeps date text as it is, for tables whose
+    sentinels are still to be removed. ``fmt`` is csv or parquet, by default csv for names
+    that end so. A CSV file is read by one task, as its records may span lines.
     """
-    if path.rstrip("/").endswith((".csv", ".csv.gz")):
-        text = normalise_names(spark.read.option("header", True).csv(path))
-        fields = zip(snake_case_all(schema.names), schema.fields)
-        df = text.select(*[_typed(name, field.dataType) for name, field in fields])
-    else:
-        df = normalise_names(spark.read.schema(schema).parquet(path))
+    df, columns = _columns(spark, path, schema, fmt)
+    df = df.select(*[_typed(field, kind) for field, kind in columns])
     return cast_dates(df) if dates else df
+
+
+def unparsed_texts(
+    spark: SparkSession, path: str, schema: StructType, dates: bool = True, fmt: str | None = None
+) -> DataFrame:
+    """Rows (column_name, problems): the values of each column that ``load_table`` makes NULL."""
+    df, columns = _columns(spark, path, schema, fmt)
+    counts = []
+    for field, kind in columns:
+        if dates and field.name.endswith("date"):
+            kind = DateType()
+        lost = F.col(f"`{field.name}`").isNotNull() & _typed(field, kind).isNull()
+        counts.append(F.struct(F.lit(field.name).alias("column_name"), F.count_if(lost).alias("problems")))
+    return df.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
