@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -42,16 +43,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; only where it is unset, one for tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        import tempfile
-
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to storage that all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
