@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -36,8 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder and read back, without lineage."""
+    """The rows written to the shared checkpoint folder and read back, without lineage.
+
+    Spark removes shuffle files once the driver has collected the plans that made them; it is
+    told to collect here, so that a chain of cuts holds little more than its last shuffles.
+    """
     ensure_checkpoint_dir(df.sparkSession)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.checkpoint(eager=True)
 
 
