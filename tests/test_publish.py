@@ -172,7 +172,10 @@ def test_a_run_from_files_gives_the_same_reports(spark, tables, published, tmp_p
     arguments += ["--out", str(out), "--series-out", str(series), "--home", given.home]
     arguments += ["--as-of", given.as_of.isoformat(), "--first-month", given.first_month.isoformat()]
     main([*arguments, "--slice-discipline", given.slice_discipline])
-    assert {path.name: read_csv(path) for path in out.iterdir()} == published
+    found = {path.name: read_csv(path) for path in out.iterdir()}
+    checks = found.pop("quality")  # which also counts, per column, texts that did not parse
+    assert [row for row in checks if not row[0].startswith("texts not parsed")] == published["quality"]
+    assert found == {name: rows for name, rows in published.items() if name != "quality"}
     assert {path.name for path in series.iterdir()} == set(reports.SERIES)
     assert column(read_csv(series / "headcount_by_month"), "headcount")[0] > 0
 
