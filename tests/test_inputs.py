@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 
 from checks import fixtures
-from tourledger.operators.progress import person_progression
+from tourledger.operators.progress import latest_attributes, person_progression
 from tourledger.plans import quality, reports, run
 from tourledger.plans.tables import Tables
 from tourledger.sources.schemas import INPUT_SCHEMAS, TENURE
@@ -90,8 +90,8 @@ def test_strict_run_fails_on_repeated_keys(inputs, tmp_path):
 def test_rows_repeated_in_lookups_change_nothing(inputs):
     tables = Tables(inputs)
     args = [inputs.name_harmonization, tables.roster, tables.pay_medians]
-    once = person_progression(tables.tours, tables.merged, *args)
-    again = person_progression(tables.tours, tables.merged, *[df.union(df) for df in args[:2]], args[2])
+    once = person_progression(latest_attributes(tables.persons), tables.merged, *args)
+    again = person_progression(latest_attributes(tables.persons), tables.merged, *[df.union(df) for df in args[:2]], args[2])
     assert once.count() == again.count() and once.exceptAll(again).isEmpty()
 
 

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tourledger import names
 from tourledger.operators import people, progress, shares
 from tourledger.operators.spells import expand_fiscal_years, location_for_year
 from tourledger.operators.summary import fiscal_summary
@@ -41,7 +42,7 @@ def test_bins_in_order(make):
 def test_exactly_one_year_is_not_early_turnover(tour_rows):
     df = tour_rows([("a", 1, "2021-01-01", "2021-12-31", "x"), ("b", 1, "2021-01-01", "2021-12-30", "x")])
     arrivals = shares.count_distinct_rows(df, ["full_name", "tour_number"], "total_onboarded")
-    out = people.early_turnover(people.departures_excluding(df), arrivals)
+    out = people.early_turnover(people.departure_counts(people.departures_excluding(df)), arrivals)
     assert ordered(out) == [(0, 1, 2, 0.5), (1, 1, 2, 0.5)]
 
 
@@ -57,7 +58,7 @@ def test_turnover_by_discipline_uses_arrivals_as_denominator(tour_rows):
     )
     pairs = df.select("full_name", "discipline_initial").distinct()
     arrivals = shares.category_share(pairs, "discipline_initial", "arrivals_by_discipline_count", digits=4)
-    out = people.early_turnover_by_discipline(people.departures_excluding(df), arrivals)
+    out = people.early_turnover_by_discipline(people.departure_counts(people.departures_excluding(df)), arrivals)
     assert ordered(out) == [("Design", 1, 2, 4, 0.25)]
 
 
@@ -130,7 +131,7 @@ def test_current_headcount(tour_rows):
             ("c", 1, "2022-01-01", "2022-02-01", "x"),
         ]
     )
-    assert ordered(people.current_headcount(df, AS_OF)) == [(1, 2, 0.5)]
+    assert ordered(people.current_headcount(people.person_facts(df), AS_OF)) == [(1, 2, 0.5)]
 
 
 def test_academia_is_not_outside_government():
@@ -148,7 +149,7 @@ def test_moves_ignore_unknown_locations(tour_rows):
             ("c", 1, "2021-01-01", None, None, "Design", "(default)", None, "q"),
         ]
     )
-    assert ordered(people.moved_flag_counts(df)) == [(0, 2), (1, 1)]
+    assert ordered(people.moved_flag_counts(people.person_facts(df))) == [(0, 2), (1, 1)]
 
 
 def test_fiscal_summary_skips_years_without_arrivals(tour_rows):
@@ -161,7 +162,7 @@ def test_fiscal_summary_skips_years_without_arrivals(tour_rows):
         ]
     )
     years = location_for_year(expand_fiscal_years(df))
-    assert ordered(fiscal_summary(years, "Home")) == [
+    assert ordered(fiscal_summary(people.person_years(years, "Home"))) == [
         (2016, 1, None, None, None, 1, None, None, None, None),
         (2018, 2, 2, 0.0, 1.0, 3, 1, 0.3333, None, None),
         (2019, 1, 1, 0.0, 1.0, 2, 1, 0.5, 1.0, 1.0),
@@ -183,7 +184,7 @@ def test_promotion_flags_and_totals(tour_rows, make):
         ],
     )
     pay = make("group string, level int, median double", [("IT", 1, 10.0), ("IT", 2, 20.0), ("SU", 3, 5.0)])
-    people_df = progress.person_progression(tours, merged, aliases, roster, pay)
+    people_df = progress.person_progression(progress.latest_attributes(people.person_facts(tours)), merged, aliases, roster, pay)
     flags = {
         r.full_name: (r.has_promotion, r.has_classification_change, r.has_level_increase, r.duration_years)
         for r in people_df.collect()

@@ -67,32 +67,61 @@ def earliest_by(df: DataFrame, key: str, order: str, cols: dict[str, str]) -> Da
     return first_and_last_by(df, key, order, cols, {})
 
 
-def current_staff(df: DataFrame) -> DataFrame:
-    """Persons with an open tour and the latest start among their open tours."""
-    open_tours = df.where(F.col(N.END).isNull())
-    return open_tours.groupBy(N.PERSON).agg(F.max(N.START).alias(MOST_RECENT_START))
+def person_facts(tours: DataFrame) -> DataFrame:
+    """One row per person with all that the reports on persons need, in one pass over the tours.
+
+    Highest tour number; discipline, programme and location at the first tour; discipline,
+    location and source at the last; whether a tour is open, and the latest start of those
+    that are; whether a tour has no start. A report from unstored tours computes what it reads.
+    """
+    is_open = F.col(N.END).isNull()
+    facts = tours.groupBy(N.PERSON).agg(
+        F.max(N.TOUR).alias("highest_tour_number"),
+        first_row(N.TOUR, N.DISCIPLINE, N.PROGRAM).alias("_first"),
+        first_row(N.TOUR, N.LOCATION_FIRST).alias("_first_location"),
+        last_row(N.TOUR, N.DISCIPLINE, N.LOCATION_LAST, N.SOURCE).alias("_last"),
+        last_row(N.TOUR, N.LOCATION_LAST).alias("_last_location"),
+        F.max(is_open).alias("present"),
+        F.max(F.when(is_open, F.col(N.START))).alias(MOST_RECENT_START),
+        F.max(F.col(N.START).isNull()).alias("undated"),
+    )
+    return facts.select(
+        N.PERSON,
+        "highest_tour_number",
+        F.col(f"_first.{N.DISCIPLINE}").alias("first_discipline"),
+        F.col(f"_first.{N.PROGRAM}").alias("first_program"),
+        F.col(f"_first_location.{N.LOCATION_FIRST}").alias("first_location"),
+        F.col(f"_last.{N.DISCIPLINE}").alias("last_discipline"),
+        F.col(f"_last_location.{N.LOCATION_LAST}").alias("last_location"),
+        F.col(f"_last.{N.LOCATION_LAST}").alias("last_tour_location"),
+        F.col(f"_last.{N.SOURCE}").alias("last_source"),
+        "present",
+        MOST_RECENT_START,
+        "undated",
+    )
 
 
-def current_headcount(df: DataFrame, as_of: dt.date, days: int = 365) -> DataFrame:
+def current_staff(persons: DataFrame) -> DataFrame:
+    """Persons with an open tour and the latest start among their open tours; from ``person_facts``."""
+    return persons.where("present").select(N.PERSON, MOST_RECENT_START)
+
+
+def current_headcount(persons: DataFrame, as_of: dt.date, days: int = 365) -> DataFrame:
     """One row: recent joiners, headcount and the share of joiners of the last ``days`` days."""
     recent = F.col(MOST_RECENT_START) >= F.date_sub(F.lit(as_of), days)
     joined = "headcount_joined_within_past_12_months"
     return (
-        current_staff(df)
+        current_staff(persons)
         .agg(F.count_if(recent).alias(joined), F.count("*").alias("headcount_current"))
         .withColumn("percentage", share(F.col(joined), F.col("headcount_current")))
     )
 
 
-def headcount_by_latest_discipline(df: DataFrame) -> DataFrame:
-    """Persons with an open tour, by the discipline of their last tour, with shares."""
-    people = df.groupBy(N.PERSON).agg(
-        last_row(N.TOUR, N.DISCIPLINE).alias("last"),
-        F.max(F.col(N.END).isNull()).alias("present"),
-    )
+def headcount_by_latest_discipline(persons: DataFrame) -> DataFrame:
+    """Persons with an open tour, by the discipline of their last tour, with shares; from ``person_facts``."""
     counts = (
-        people.where("present")
-        .groupBy(F.col(f"last.{N.DISCIPLINE}").alias(N.DISCIPLINE))
+        persons.where("present")
+        .groupBy(F.col("last_discipline").alias(N.DISCIPLINE))
         .agg(F.count("*").alias("count_by_discipline"))
     )
     percentage = F.bround(share(F.col("count_by_discipline"), F.col("total_count")), 4)
@@ -114,11 +143,15 @@ def _under_one_year() -> Column:
     return F.coalesce(F.col("duration_years") < 1, F.lit(False)).cast("int")
 
 
-def early_turnover(departures: DataFrame, arrivals: DataFrame) -> DataFrame:
-    """Departures under one year and later, each against the one-row arrivals total."""
-    counts = departures.groupBy(_under_one_year().alias("departed_under_1_year")).agg(
-        F.count("*").alias("departure_count")
-    )
+def departure_counts(departures: DataFrame) -> DataFrame:
+    """Number ``n`` of departures per discipline, source, type and whether under one year."""
+    under = _under_one_year().alias("departed_under_1_year")
+    return departures.groupBy(N.DISCIPLINE, N.SOURCE, N.DEPARTURE, under).agg(F.count("*").alias("n"))
+
+
+def early_turnover(counted: DataFrame, arrivals: DataFrame) -> DataFrame:
+    """Departures under one year and later, from ``departure_counts``, each against the one-row arrivals total."""
+    counts = counted.groupBy("departed_under_1_year").agg(F.sum("n").alias("departure_count"))
     percentage = F.bround(share(F.col("departure_count"), F.col("total_onboarded")), 4)
     return (
         counts.crossJoin(F.broadcast(arrivals.select("total_onboarded")))
@@ -127,16 +160,16 @@ def early_turnover(departures: DataFrame, arrivals: DataFrame) -> DataFrame:
     )
 
 
-def early_turnover_by_discipline(departures: DataFrame, arrivals: DataFrame) -> DataFrame:
+def early_turnover_by_discipline(counted: DataFrame, arrivals: DataFrame) -> DataFrame:
     """Disciplines with departures under one year, their share of the discipline's arrivals.
 
-    The departures total that is shown is not the denominator.
+    ``counted`` is a table of ``departure_counts``. The departures total that is shown is not the denominator.
     """
     counts = (
-        departures.groupBy(N.DISCIPLINE)
+        counted.groupBy(N.DISCIPLINE)
         .agg(
-            F.sum(_under_one_year()).alias("departed_under_1_year_count"),
-            F.count("*").alias("total_departure_count"),
+            F.sum(F.col("departed_under_1_year") * F.col("n")).alias("departed_under_1_year_count"),
+            F.sum("n").alias("total_departure_count"),
         )
         .where("departed_under_1_year_count > 0")
         .alias("d")
@@ -151,24 +184,15 @@ def early_turnover_by_discipline(departures: DataFrame, arrivals: DataFrame) ->
     )
 
 
-def tour_counts(df: DataFrame) -> DataFrame:
-    """One row per person: highest tour number, discipline and programme of the first tour."""
-    people = df.groupBy(N.PERSON).agg(
-        F.max(N.TOUR).alias("highest_tour_number"),
-        first_row(N.TOUR, N.DISCIPLINE, N.PROGRAM).alias("first"),
-    )
-    return people.select(N.PERSON, "highest_tour_number", f"first.{N.DISCIPLINE}", f"first.{N.PROGRAM}")
-
-
-def repeat_tours(df: DataFrame, by: str, name: str) -> DataFrame:
-    """Persons with more than one tour, by an attribute of their first tour."""
-    counts = tour_counts(df).where("highest_tour_number > 1").groupBy(by).agg(F.count("*").alias(name))
-    return counts.orderBy(F.desc(name), *ascending(by))
+def repeat_tours(persons: DataFrame, attribute: str, by: str, name: str) -> DataFrame:
+    """Persons with more than one tour, by an attribute in ``person_facts``, published as ``by``."""
+    repeated = persons.where("highest_tour_number > 1").groupBy(F.col(attribute).alias(by))
+    return repeated.agg(F.count("*").alias(name)).orderBy(F.desc(name), *ascending(by))
 
 
-def program_tour_numbers(df: DataFrame, program: str = N.STUDENT) -> DataFrame:
-    """Persons who started in one programme, by their highest tour number."""
-    people = tour_counts(df).where(F.col(N.PROGRAM) == program)
+def program_tour_numbers(persons: DataFrame, program: str = N.STUDENT) -> DataFrame:
+    """Persons who started in one programme, by their highest tour number; from ``person_facts``."""
+    people = persons.where(F.col("first_program") == program)
     counts = people.groupBy("highest_tour_number").agg(F.count("*").alias("students_count"))
     return counts.orderBy("highest_tour_number")
 
@@ -178,21 +202,27 @@ def region_flag(location: Column, home: str = N.HOME_REGION) -> Column:
     return F.when(location == home, "in_ncr").otherwise("outside_ncr")
 
 
-def person_years(df: DataFrame, home: str = N.HOME_REGION, *extra: Column) -> DataFrame:
-    """One row per person and fiscal year: ``outside`` the home region by the last tour's location in that year.
+def person_years(tour_years: DataFrame, home: str = N.HOME_REGION) -> DataFrame:
+    """One row per person and fiscal year: ``outside`` the home region by the last tour's location
+    in that year, ``arrived`` and ``departed`` in it.
 
-    ``extra`` aggregates are computed in the same pass.
+    A tour touches the years of its own start and end, so one grouping gives all three.
     """
+    in_year = lambda year: F.max(F.coalesce(F.col(year) == F.col(N.FISCAL_YEAR), F.lit(False)))
     outside = region_flag(F.col(N.LOCATION_AVERAGED), home) == "outside_ncr"
-    return df.groupBy(N.PERSON, N.FISCAL_YEAR).agg(last_flag(N.TOUR, outside).alias("outside"), *extra)
+    return tour_years.groupBy(N.PERSON, N.FISCAL_YEAR).agg(
+        last_flag(N.TOUR, outside).alias("outside"),
+        in_year(N.START_FY).alias("arrived"),
+        in_year(N.END_FY).alias("departed"),
+    )
 
 
-def home_region_by_year(df: DataFrame, home: str = N.HOME_REGION) -> DataFrame:
+def home_region_by_year(person_years: DataFrame) -> DataFrame:
     """Persons in and outside the home region per fiscal year, with the share in the year.
 
     The two regions are counted side by side per year and unfolded into rows after that.
     """
-    years = person_years(df, home).groupBy(N.FISCAL_YEAR).agg(
+    years = person_years.groupBy(N.FISCAL_YEAR).agg(
         F.count("*").alias("total_staff_count"), F.count_if("outside").alias("outside")
     )
     regions = F.array(
@@ -217,14 +247,11 @@ def home_region_by_year(df: DataFrame, home: str = N.HOME_REGION) -> DataFrame:
     )
 
 
-def moved_flag_counts(df: DataFrame) -> DataFrame:
+def moved_flag_counts(persons: DataFrame) -> DataFrame:
     """Persons whose first and last location differ (1) or not (0); an unknown location is 0."""
-    people = df.groupBy(N.PERSON).agg(
-        first_row(N.TOUR, N.LOCATION_FIRST).alias("first"), last_row(N.TOUR, N.LOCATION_LAST).alias("last")
-    )
-    moved = F.col(f"first.{N.LOCATION_FIRST}") != F.col(f"last.{N.LOCATION_LAST}")
+    moved = F.col("first_location") != F.col("last_location")
     flag = F.coalesce(moved, F.lit(False)).cast("int").alias("location_changed_at_cds")
-    return people.groupBy(flag).agg(F.count("*").alias("count")).orderBy("location_changed_at_cds")
+    return persons.groupBy(flag).agg(F.count("*").alias("count")).orderBy("location_changed_at_cds")
 
 
 def started_before(df: DataFrame, as_of: dt.date, days: int = 365) -> DataFrame:

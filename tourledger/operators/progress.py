@@ -18,26 +18,25 @@ def _flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def latest_attributes(tours: DataFrame) -> DataFrame:
-    """One row per person with discipline, location and arrival source of the last tour."""
-    return latest_by(
-        tours,
+def latest_attributes(persons: DataFrame) -> DataFrame:
+    """Discipline, location and arrival source of the last tour, from ``person_facts``."""
+    return persons.select(
         N.PERSON,
-        N.TOUR,
-        {N.DISCIPLINE: N.DISCIPLINE, N.LOCATION_LAST: N.LOCATION_LAST, N.SOURCE: N.SOURCE},
+        F.col("last_discipline").alias(N.DISCIPLINE),
+        F.col("last_tour_location").alias(N.LOCATION_LAST),
+        F.col("last_source").alias(N.SOURCE),
     )
 
 
 def person_progression(
-    tours: DataFrame, merged: DataFrame, aliases: DataFrame, roster: DataFrame, pay: DataFrame
+    persons: DataFrame, merged: DataFrame, aliases: DataFrame, roster: DataFrame, pay: DataFrame
 ) -> DataFrame:
     """Persons with a known latest level: grades, median pay, promotion flags, last merged duration.
 
-    Grades belong to persons, so tours are folded to one row per person before the three
-    lookups are joined; the large table is never shuffled by grade or alias. Rows repeated in
+    Grades belong to persons, so the three lookups are joined to ``latest_attributes``; the large table is never shuffled by grade or alias. Rows repeated in
     the lookups count once. ``pay`` has one median per grade.
     """
-    people = attach_salary(join_with_aliases(latest_attributes(tours), aliases.distinct(), roster.distinct()), pay)
+    people = attach_salary(join_with_aliases(persons, aliases.distinct(), roster.distinct()), pay)
     group_changed = _flag(F.col("earliest_group") != F.col("latest_group"))
     level_up = _flag(F.col("latest_level") > F.col("earliest_level"))
     flagged = people.where(F.col("latest_level").isNotNull()).withColumns(

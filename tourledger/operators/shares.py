@@ -46,6 +46,10 @@ def known_category(column: Column, unknown: str = N.UNKNOWN_SOURCE) -> Column:
     return F.when(unsure, F.lit(unknown)).otherwise(column)
 
 
+def _rows(weight: str | None) -> Column:
+    return F.count("*") if weight is None else F.sum(weight)
+
+
 def category_share(
     df: DataFrame,
     category: str,
@@ -53,12 +57,14 @@ def category_share(
     percentage: str = "percentage",
     digits: int | None = None,
     combined: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Rows per category with the total and the share, most frequent first.
 
-    ``digits`` rounds the share; ``combined`` adds a column of ``40% (34)`` texts.
+    ``digits`` rounds the share; ``combined`` adds a column of ``40% (34)`` texts. A row counts
+    as many times as ``weight`` tells.
     """
-    counts = df.groupBy(category).agg(F.count("*").alias(count))
+    counts = df.groupBy(category).agg(_rows(weight).alias(count))
     fraction = share(F.col(count), F.col("total_count"))
     out = with_total(counts, count).withColumn(
         percentage, fraction if digits is None else F.bround(fraction, digits)
@@ -68,9 +74,14 @@ def category_share(
     return out.orderBy(F.desc(count), *ascending(category))
 
 
-def share_within(df: DataFrame, outer: str, inner: str, count: str, percentage: str) -> DataFrame:
-    """Rows per (outer, inner) with the outer group's total and the share; a NULL outer is a group."""
-    counts = df.groupBy(outer, inner).agg(F.count("*").alias(count))
+def share_within(
+    df: DataFrame, outer: str, inner: str, count: str, percentage: str, weight: str | None = None
+) -> DataFrame:
+    """Rows per (outer, inner) with the outer group's total and the share; a NULL outer is a group.
+
+    A row counts as many times as ``weight`` tells.
+    """
+    counts = df.groupBy(outer, inner).agg(_rows(weight).alias(count))
     total = F.sum(count).over(Window.partitionBy(outer))
     return (
         counts.withColumn("total_count", total)

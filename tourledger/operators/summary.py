@@ -6,26 +6,21 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tourledger import names as N
 from tourledger.functions.numbers import share
-from tourledger.operators.people import person_years
 
 
-def fiscal_summary(tour_years: DataFrame, home: str = N.HOME_REGION) -> DataFrame:
+def fiscal_summary(person_years: DataFrame) -> DataFrame:
     """Arrivals, departures, headcount, hire shares, outside-region share and turnover per fiscal year.
 
-    ``tour_years`` has one row per tour and fiscal year with its location. A tour touches the
-    years of its own start and end, so one grouping by person and year yields all four
-    counts at once: one shuffle by person and year, one by year. Years without arrivals are
-    left out before the lag; a year without departures has NULLs, not zeros.
+    ``person_years`` has one row per person and fiscal year, so one grouping by year yields all
+    four counts at once. Years without arrivals are left out before the lag; a year without
+    departures has NULLs, not zeros.
     """
-    arrived = F.max(F.coalesce(F.col(N.START_FY) == F.col(N.FISCAL_YEAR), F.lit(False)))
-    departed = F.max(F.coalesce(F.col(N.END_FY) == F.col(N.FISCAL_YEAR), F.lit(False)))
-    people = person_years(tour_years, home, arrived.alias("arrived"), departed.alias("departed"))
 
     def count_or_null(flag: str) -> Column:
         return F.nullif(F.count_if(flag), F.lit(0))
 
     years = (
-        people.groupBy(N.FISCAL_YEAR)
+        person_years.groupBy(N.FISCAL_YEAR)
         .agg(
             F.count_if("arrived").alias("arrivals"),
             count_or_null("departed").alias("departures"),

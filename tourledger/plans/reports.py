@@ -21,11 +21,11 @@ Report = Callable[[Tables], DataFrame]
 
 
 def arrivals(t: Tables) -> DataFrame:
-    return shares.count_distinct_rows(t.tours, [N.PERSON, N.TOUR], "total_onboarded")
+    return t.arrivals
 
 
 def headcount_individual_staff(t: Tables) -> DataFrame:
-    return shares.count_distinct_rows(t.tours, [N.PERSON], "total_individual_staff")
+    return shares.count_rows(t.persons, "total_individual_staff")
 
 
 def arrivals_by_source(t: Tables) -> DataFrame:
@@ -35,8 +35,8 @@ def arrivals_by_source(t: Tables) -> DataFrame:
 
 
 def arrivals_by_discipline(t: Tables) -> DataFrame:
-    pairs = t.tours.select(N.PERSON, N.DISCIPLINE).distinct()
-    return shares.category_share(pairs, N.DISCIPLINE, "arrivals_by_discipline_count", digits=4)
+    # Ordered anew: stored rows come in no order.
+    return t.arrivals_by_discipline.orderBy(F.desc("arrivals_by_discipline_count"), *shares.ascending(N.DISCIPLINE))
 
 
 def arrivals_by_fiscal_year(t: Tables) -> DataFrame:
@@ -44,19 +44,19 @@ def arrivals_by_fiscal_year(t: Tables) -> DataFrame:
 
 
 def headcount_current(t: Tables) -> DataFrame:
-    return shares.count_rows(people.current_staff(t.tours), "headcount_current")
+    return shares.count_rows(people.current_staff(t.persons), "headcount_current")
 
 
 def headcount_joined_within_past_12_months(t: Tables) -> DataFrame:
-    return people.current_headcount(t.tours, t.inputs.as_of)
+    return people.current_headcount(t.persons, t.inputs.as_of)
 
 
 def headcount_by_discipline(t: Tables) -> DataFrame:
-    return people.headcount_by_latest_discipline(t.tours)
+    return people.headcount_by_latest_discipline(t.persons)
 
 
 def headcount_by_fiscal_year(t: Tables) -> DataFrame:
-    return shares.distinct_persons_by(t.tour_years, [N.FISCAL_YEAR], "headcount")
+    return t.person_years.groupBy(N.FISCAL_YEAR).agg(F.count("*").alias("headcount")).orderBy(N.FISCAL_YEAR)
 
 
 def discipline_count_by_fiscal_year(t: Tables) -> DataFrame:
@@ -76,36 +76,37 @@ def departures_by_fiscal_year(t: Tables) -> DataFrame:
 
 
 def departures_excluding_students(t: Tables) -> DataFrame:
-    return shares.count_rows(t.departures, "total_departed")
+    return t.departure_counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_departed"))
 
 
 def new_hire_turnover_under_1_year(t: Tables) -> DataFrame:
-    return people.early_turnover(t.departures, arrivals(t))
+    return people.early_turnover(t.departure_counts, t.arrivals)
 
 
 def new_hire_turnover_under_1_year_by_discipline(t: Tables) -> DataFrame:
-    return people.early_turnover_by_discipline(t.departures, arrivals_by_discipline(t))
+    return people.early_turnover_by_discipline(t.departure_counts, t.arrivals_by_discipline)
 
 
 def departure_type(t: Tables) -> DataFrame:
     return shares.category_share(
-        t.departures,
+        t.departure_counts,
         N.DEPARTURE,
         "departure_count",
         "departure_type_percentage",
         combined="departure_type_combined",
+        weight="n",
     )
 
 
 def departure_type_by_discipline(t: Tables) -> DataFrame:
     return shares.share_within(
-        t.departures, N.DISCIPLINE, N.DEPARTURE, "departure_count", "departure_type_percentage"
+        t.departure_counts, N.DISCIPLINE, N.DEPARTURE, "departure_count", "departure_type_percentage", "n"
     )
 
 
 def departure_type_by_arrival_source(t: Tables) -> DataFrame:
     return shares.share_within(
-        t.departures, N.SOURCE, N.DEPARTURE, "departure_count", "departure_type_percentage"
+        t.departure_counts, N.SOURCE, N.DEPARTURE, "departure_count", "departure_type_percentage", "n"
     )
 
 
@@ -133,35 +134,35 @@ def summary_departure_type_by_arrival_source_percentages(t: Tables) -> DataFrame
 
 
 def departure_type_joined_from_outside_government(t: Tables) -> DataFrame:
-    outside = t.departures.where(F.col(N.SOURCE).isin(*t.inputs.outside_government))
-    return shares.category_share(outside, N.DEPARTURE, "departure_count", "departure_type_percentage")
+    outside = t.departure_counts.where(F.col(N.SOURCE).isin(*t.inputs.outside_government))
+    return shares.category_share(outside, N.DEPARTURE, "departure_count", "departure_type_percentage", weight="n")
 
 
 # Tours and locations
 
 
 def multiple_tours_by_discipline(t: Tables) -> DataFrame:
-    return people.repeat_tours(t.tours, N.DISCIPLINE, "multiple_tours_by_discipline_count")
+    return people.repeat_tours(t.persons, "first_discipline", N.DISCIPLINE, "multiple_tours_by_discipline_count")
 
 
 def multiple_tours_by_initial_staffing_program(t: Tables) -> DataFrame:
-    return people.repeat_tours(t.tours, N.PROGRAM, "multiple_tours_by_initial_staffing_program_count")
+    return people.repeat_tours(t.persons, "first_program", N.PROGRAM, "multiple_tours_by_initial_staffing_program_count")
 
 
 def multiple_tours_students_tour_number(t: Tables) -> DataFrame:
-    return people.program_tour_numbers(t.tours)
+    return people.program_tour_numbers(t.persons)
 
 
 def location_in_out_ncr_by_fiscal_year(t: Tables) -> DataFrame:
-    return people.home_region_by_year(t.tour_years, t.inputs.home)
+    return people.home_region_by_year(t.person_years)
 
 
 def location_changed_while_at_cds(t: Tables) -> DataFrame:
-    return people.moved_flag_counts(t.tours)
+    return people.moved_flag_counts(t.persons)
 
 
 def summary_arrivals_departures_headcount_by_fiscal_year(t: Tables) -> DataFrame:
-    return fiscal_summary(t.tour_years, t.inputs.home)
+    return fiscal_summary(t.person_years)
 
 
 # Tenure and duration

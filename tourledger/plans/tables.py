@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame
 
 from tourledger import names as N
 from tourledger.operators.cleaning import clean_roster, clean_tours, parse_pay_rates
-from tourledger.operators.people import departures_excluding
-from tourledger.operators.progress import person_progression
+from tourledger.operators.people import departure_counts, departures_excluding, person_facts, person_years
+from tourledger.operators.progress import latest_attributes, person_progression
 from tourledger.operators.salary import pooled_median
+from tourledger.operators.shares import category_share, count_distinct_rows
 from tourledger.operators.spells import (
     add_duration,
     add_effective_end,
@@ -26,6 +27,11 @@ from tourledger.operators.spells import (
 MEASURED_TOURS_PATH = "tours"
 MERGED_TOURS_PATH = "merged_tours"
 PROGRESSION_PATH = "progression"
+PERSONS_PATH = "persons"
+PERSON_YEARS_PATH = "person_years"
+DEPARTURE_COUNTS_PATH = "departure_counts"
+ARRIVALS_PATH = "arrivals"
+ARRIVALS_BY_DISCIPLINE_PATH = "arrivals_by_discipline"
 
 
 def measured_tours(tenure_raw: DataFrame, as_of: dt.date) -> DataFrame:
@@ -71,6 +77,27 @@ class Tables:
     def departures(self) -> DataFrame:
         return departures_excluding(self.tours)
 
+    @cached_property
+    def departure_counts(self) -> DataFrame:
+        return departure_counts(self.departures)
+
+    @cached_property
+    def persons(self) -> DataFrame:
+        return person_facts(self.tours)
+
+    @cached_property
+    def person_years(self) -> DataFrame:
+        return person_years(self.tour_years, self.inputs.home)
+
+    @cached_property
+    def arrivals(self) -> DataFrame:
+        return count_distinct_rows(self.tours, [N.PERSON, N.TOUR], "total_onboarded")
+
+    @cached_property
+    def arrivals_by_discipline(self) -> DataFrame:
+        pairs = self.tours.select(N.PERSON, N.DISCIPLINE).distinct()
+        return category_share(pairs, N.DISCIPLINE, "arrivals_by_discipline_count", digits=4)
+
     @cached_property
     def merged(self) -> DataFrame:
         return merge_tours(self.tours, self.inputs.as_of)
@@ -86,11 +113,15 @@ class Tables:
     @cached_property
     def progression(self) -> DataFrame:
         return person_progression(
-            self.tours, self.merged, self.inputs.name_harmonization, self.roster, self.pay_medians
+            latest_attributes(self.persons),
+            self.merged,
+            self.inputs.name_harmonization,
+            self.roster,
+            self.pay_medians,
         )
 
     def write_to(self, folder: str) -> Tables:
-        """The same tables, with the three that many reports read written to ``folder`` as Parquet.
+        """The same tables, with those that several reports read written to ``folder`` as Parquet.
 
         ``folder`` must be storage that all executors share. Written tables keep column
         pruning and filter pushdown, cut the lineage and survive lost executors. No report
@@ -106,5 +137,10 @@ class Tables:
 
         stored.tours = store(self.tours.drop(N.NOTES), MEASURED_TOURS_PATH)
         stored.merged = store(stored.merged, MERGED_TOURS_PATH)
+        stored.persons = store(stored.persons, PERSONS_PATH)
         stored.progression = store(stored.progression, PROGRESSION_PATH)
+        stored.person_years = store(stored.person_years, PERSON_YEARS_PATH)
+        stored.departure_counts = store(stored.departure_counts, DEPARTURE_COUNTS_PATH)
+        stored.arrivals = store(stored.arrivals, ARRIVALS_PATH)
+        stored.arrivals_by_discipline = store(stored.arrivals_by_discipline, ARRIVALS_BY_DISCIPLINE_PATH)
         return stored
