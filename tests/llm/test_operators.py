@@ -478,7 +478,9 @@ def test_label_model_finds_accuracies_and_copies():
 # Language model
 
 
-def test_language_model(docs, none, rows):
+@pytest.mark.parametrize("bytes_a_bucket", [hidden_markov.BUCKET_BYTES, 1])
+def test_language_model(docs, none, rows, monkeypatch, bytes_a_bucket):
+    monkeypatch.setattr(hidden_markov, "BUCKET_BYTES", bytes_a_bucket)
     found = hidden_markov.language_model_scores(docs).collect()
     tokens = [(r[1], [*re.findall(TOKEN, lowered(r[2])), None]) for r in rows]
     counts = Counter(w for i, own in tokens if held(i, 5) != 1 for w in own)

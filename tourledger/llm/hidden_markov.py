@@ -12,6 +12,7 @@ once per pack however often they occur, and their counts come back to the pack.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -32,7 +33,10 @@ TRAIN_PIECE = 256
 START_PACKS = 64
 START_PIECES = 16
 START_ROUNDS = 15
-BUCKETS = 256
+#: Tokens are counted in buckets of their hashes, at least 2 ** BUCKET_BITS; there are more, a power
+#: of two, where the packs have more than BUCKET_BYTES of hashes a bucket, so that a task's stays small.
+BUCKET_BITS = 8
+BUCKET_BYTES = 16 << 20
 PACK_BYTES = 8 << 20
 _END = np.uint64(0xFFFFFFFFFFFFFFFF)  # the end's token; no word hashes to it but by chance
 SEED = 7
@@ -106,15 +110,16 @@ def count_tokens(packed: DataFrame) -> DataFrame:
     A token's count is summed over all packs where its bucket is; the row of the bucket's
     first pack also has the bucket's sums: tokens, distinct tokens and both by class.
     """
+    size = packed.agg(F.sum(F.length("words")).alias("size")).first().size or 0
+    bits = max(BUCKET_BITS, math.ceil(math.log2(max(size / BUCKET_BYTES, 1))))
 
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pack, words, classes, counts in zip(*[c.to_pylist() for c in batch.columns]):
                 words, classes, counts = np.frombuffer(words, np.uint64), np.frombuffer(classes, np.uint16), np.frombuffer(counts, np.uint32)
-                edges = np.searchsorted(words >> np.uint64(56), np.arange(BUCKETS + 1, dtype=np.uint64))
-                own = [k for k in range(BUCKETS) if edges[k] < edges[k + 1]]
-                cuts = [slice(edges[k], edges[k + 1]) for k in own]
-                columns = [[pack] * len(own), own, *[[a[c].tobytes() for c in cuts] for a in (words, classes, counts)]]
+                own, begins = np.unique(words >> np.uint64(64 - bits), return_index=True)  # words are in order
+                cuts = [slice(a, b) for a, b in zip(begins, [*begins[1:], len(words)])]
+                columns = [[pack] * len(own), own.astype(np.int32), *[[a[c].tobytes() for c in cuts] for a in (words, classes, counts)]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), *[pa.binary()] * 3))], names=["pack", "bucket", "words", "classes", "counts"])
 
     asked = packed.select("pack", "words", "classes", "counts").mapInArrow(ask, "pack bigint, bucket int, words binary, classes binary, counts binary")
@@ -228,6 +233,28 @@ def expected_counts(model: HiddenMarkov, sequence: np.ndarray, begins: np.ndarra
     return first, move, emit
 
 
+def _class_counts(counted: DataFrame) -> np.ndarray:
+    """Training tokens and distinct ones of each class, summed over buckets within partitions first."""
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(2 * CLASSES, np.int64)
+        for batch in batches:
+            for found in batch.column(0).to_pylist():
+                sums += np.frombuffer(found, np.int64)
+        at = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(sums[at])], names=["place", "value"])
+
+    partial = counted.where("class_counts is not null").select("class_counts").mapInArrow(add, "place int, value bigint")
+    return _summed(partial, np.zeros(2 * CLASSES, np.int64)).reshape(2, CLASSES)
+
+
+def _summed(partial: DataFrame, sums: np.ndarray) -> np.ndarray:
+    """``sums`` with the sum of each place's values; as many rows as the model has numbers."""
+    for row in partial.groupBy("place").agg(F.sum("value").alias("value")).collect():
+        sums[row.place] = row.value
+    return sums
+
+
 def _round(packed: DataFrame, model: HiddenMarkov, share: np.ndarray) -> HiddenMarkov:
     """One round of Baum-Welch over every training token, summed over partitions."""
     shared = packed.sparkSession.sparkContext.broadcast(model)
@@ -245,9 +272,7 @@ def _round(packed: DataFrame, model: HiddenMarkov, share: np.ndarray) -> HiddenM
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(sums[found])], names=schema.names)
 
     expected = packed.select("held_out", "lengths", "tokens", "classes").mapInArrow(expect, schema)
-    sums = np.zeros(STATES + STATES * STATES + CLASSES * STATES)
-    for row in expected.groupBy("place").agg(F.sum("value").alias("value")).collect():  # as many rows as the model has numbers
-        sums[row.place] = row.value
+    sums = _summed(expected, np.zeros(STATES + STATES * STATES + CLASSES * STATES))
     first, move, emit = np.split(sums, [STATES, STATES + STATES * STATES])
     return HiddenMarkov.estimated(first, move.reshape(STATES, STATES), emit.reshape(CLASSES, STATES), share)
 
@@ -280,9 +305,7 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     packed = packs(docs)
     counted = count_tokens(packed)
     sums = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("distinct")).first()
-    by_class = np.zeros((2, CLASSES), np.int64)
-    for row in counted.where("class_counts is not null").select("class_counts").collect():  # one per bucket
-        by_class += np.frombuffer(row.class_counts, np.int64).reshape(2, CLASSES)
+    by_class = _class_counts(counted)
     model = train(packed, by_class[0])
     tokens, distinct = int(sums.tokens), int(sums.distinct)
     whole = np.log10(tokens + 0.5 * (distinct + 1))
