@@ -20,8 +20,10 @@ MAX_LANGUAGES = 10_000
 
 _BREAK = 0x20
 _DENSE = 1 << 21
-_PIECE = 2 << 20
+_PIECE = 1 << 19
+#: Bundles are summed for so many rows and kinds of trigrams at a time, whatever the alphabet.
 _BLOCK_ROWS = 512
+_BLOCK_KINDS = 8192
 
 
 @lru_cache(maxsize=1 << 16)
@@ -103,26 +105,35 @@ class Grams:
             return alphabet, place[text]
         return np.unique(text, return_inverse=True)
 
-    def vectors(self) -> np.ndarray:
-        """Each kind's vector: its letters' vectors, permuted by place, multiplied."""
-        if not len(self.kinds):
+    def vectors(self, low: int = 0, high: int | None = None) -> np.ndarray:
+        """The vectors of the kinds from ``low`` to ``high``: of each its letters' vectors,
+        permuted by place, multiplied."""
+        kinds = self.kinds[low:high]
+        if not len(kinds):
             return np.zeros((0, DIMENSION), np.float32)
-        letters = np.stack([_letter(int(c)) for c in self.alphabet])
         n = len(self.alphabet)
-        one, two, three = self.kinds // (n * n), self.kinds // n % n, self.kinds % n
-        bound = np.roll(letters, 2, axis=1)[one] * np.roll(letters, 1, axis=1)[two]
-        return (bound * letters[three]).astype(np.float32)
-
-    def bundles(self, groups: np.ndarray, many: int, vectors: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-        """The sum of the trigram vectors in each group of rows, some groups at a time;
-        ``groups`` has each occurrence's, in ascending order."""
-        kinds = max(len(self.kinds), 1)
-        for low in range(0, many, _BLOCK_ROWS):
-            high = min(low + _BLOCK_ROWS, many)
-            a, b = np.searchsorted(groups, (low, high))
-            counts = np.bincount((groups[a:b] - low) * kinds + self.kind[a:b], minlength=(high - low) * kinds)
-            counts = counts.reshape(high - low, kinds).astype(np.float32)
-            yield low, high, counts[:, : len(self.kinds)] @ vectors
+        bound = np.ones((len(kinds), DIMENSION), np.int8)
+        for place, letter in ((2, kinds // (n * n)), (1, kinds // n % n), (0, kinds % n)):
+            used, at = np.unique(letter, return_inverse=True)
+            bound *= np.roll(np.stack([_letter(int(self.alphabet[k])) for k in used]), place, axis=1)[at]
+        return bound.astype(np.float32)
+
+    def bundles(self, groups: np.ndarray, many: int) -> np.ndarray:
+        """The sum of the trigram vectors in each of ``many`` groups of rows; ``groups`` has
+        each occurrence's group, in ascending order."""
+        sums = np.zeros((many, DIMENSION), np.float32)
+        for start in range(0, len(self.kinds), _BLOCK_KINDS):
+            vectors = self.vectors(start, start + _BLOCK_KINDS)
+            kind, group = self.kind, groups
+            if len(self.kinds) > _BLOCK_KINDS:
+                own = (kind >= start) & (kind < start + _BLOCK_KINDS)
+                kind, group = kind[own] - start, group[own]
+            for low in range(0, many, _BLOCK_ROWS):
+                high = min(low + _BLOCK_ROWS, many)
+                a, b = np.searchsorted(group, (low, high))
+                counts = np.bincount((group[a:b] - low) * len(vectors) + kind[a:b], minlength=(high - low) * len(vectors))
+                sums[low:high] += counts.reshape(high - low, len(vectors)).astype(np.float32) @ vectors
+        return sums
 
 
 def language_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
@@ -140,9 +151,8 @@ def language_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
             group = np.array([place[lang] for lang in langs], np.int64)[grams.row]
             order = np.argsort(group, kind="stable")
             grams.kind = grams.kind[order]
-            for low, high, sums_here in grams.bundles(group[order], len(names), grams.vectors()):
-                for name, vector in zip(names[low:high], sums_here):
-                    sums[name] = sums.get(name, 0) + vector.astype(np.float64)
+            for name, vector in zip(names, grams.bundles(group[order], len(names))):
+                sums[name] = sums.get(name, 0) + vector.astype(np.float64)
         for name, vector in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([name] * DIMENSION, pa.string()), pa.array(np.arange(DIMENSION), pa.int32()), pa.array(vector)], names=schema.names)
 
@@ -171,11 +181,12 @@ def identify(df: DataFrame, text: str, prototypes: dict[str, np.ndarray], carry:
             best, cosine = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
             grams = Grams(data, offsets)
             if names:
-                vectors = grams.vectors()
-                for low, high, bundle in grams.bundles(grams.row, batch.num_rows, vectors):
+                bundles = grams.bundles(grams.row, batch.num_rows)
+                for low in range(0, batch.num_rows, _BLOCK_ROWS):
+                    bundle = bundles[low : low + _BLOCK_ROWS]
                     likeness = np.round((bundle @ unit.T) / np.maximum(np.linalg.norm(bundle, axis=1), 1e-30)[:, None], 6)
-                    best[low:high] = likeness.argmax(axis=1)
-                    cosine[low:high] = likeness.max(axis=1)
+                    best[low : low + _BLOCK_ROWS] = likeness.argmax(axis=1)
+                    cosine[low : low + _BLOCK_ROWS] = likeness.max(axis=1)
             known = (grams.letters > 0) & bool(names)
             langs = [names[k] if ok else UNDETERMINED for k, ok in zip(best.tolist(), known.tolist())]
             cosine = np.where(known, np.clip(cosine, 0.0, 1.0), 0.0)
