@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 #: Texts are worked on in pieces of so many bytes; a longer text is a piece of its own.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+#: Powers up to so many bytes stay in a worker; for a longer text they are made anew.
+POWERS_KEPT = 8 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
@@ -151,12 +153,16 @@ class _Powers:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_Powers.up) < n:
-        for name, base in (("up", _BASE), ("down", _INVERSE)):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            setattr(_Powers, name, np.cumprod(steps))
-    return _Powers.up, _Powers.down
+    if len(_Powers.up) >= n:
+        return _Powers.up, _Powers.down
+    found = []
+    for base in (_BASE, _INVERSE):
+        steps = np.full(n, base, np.uint64)
+        steps[0] = 1
+        found.append(np.cumprod(steps, out=steps))
+    if n <= POWERS_KEPT:
+        _Powers.up, _Powers.down = found
+    return found[0], found[1]
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
