@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
-from tourledger.llm.common import LOWER, WORD_BYTES, cut, numbered, pick, pieces, schema_of, spans, text_bytes, words8
+from tourledger.llm.common import LOWER, WORD_BYTES, cut, frugal, numbered, pick, pieces, schema_of, spans, text_bytes, words8
 
 WINDOW_WORDS = 13
 #: Share of a document's words that must be hit: one in so many.
@@ -164,6 +164,7 @@ def _scan(df: DataFrame, text: str, block: Benchmark, carry: list[str]) -> DataF
     before = [df.columns.index(name) for name in ("hits", "items")] if "hits" in df.columns else None
     shared = df.sparkSession.sparkContext.broadcast(block)
 
+    @frugal
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch, data, offsets in pieces(batches, at):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from tourledger.llm.common import numbered, pick, pieces, remainder, schema_of
+from tourledger.llm.common import frugal, numbered, pick, pieces, remainder, schema_of
 
 DIMENSION = 1024
 SEED = 20
@@ -141,6 +141,7 @@ def language_prototypes(docs: DataFrame) -> dict[str, np.ndarray]:
     rows = pick(docs, "text", "lang").where("lang is not null")
     schema = StructType([StructField("lang", StringType()), StructField("place", IntegerType()), StructField("value", DoubleType())])
 
+    @frugal
     def bundle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch, data, offsets in pieces(batches, 0, _PIECE):
@@ -175,6 +176,7 @@ def identify(df: DataFrame, text: str, prototypes: dict[str, np.ndarray], carry:
     unit = np.stack([prototypes[n] / max(np.linalg.norm(prototypes[n]), 1e-300) for n in names]) if names else np.zeros((0, DIMENSION))
     shared = df.sparkSession.sparkContext.broadcast((names, unit.astype(np.float32)))
 
+    @frugal
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, unit = shared.value
         for batch, data, offsets in pieces(batches, at, _PIECE):

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from tourledger.llm.common import cut, mix, numbered, pick, pieces, prefix_hash, schema_of, span_hash, text_bytes
+from tourledger.llm.common import cut, frugal, mix, numbered, pick, pieces, prefix_hash, schema_of, span_hash, text_bytes
 from tourledger.llm.components import connected_components
 from tourledger.llm.decontamination import normalised
 
@@ -119,6 +119,7 @@ def with_keys(df: DataFrame, text: str, carry: list[str], sketched: bool) -> Dat
     fields = [StructField("key", LongType())] + [StructField("sketches", ArrayType(LongType()))] * sketched
     schema = schema_of(df.select(*carry), *fields)
 
+    @frugal
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, at):
             words, first, normal, ends = word_hashes(data, offsets)
@@ -182,6 +183,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     both = other.join(texts.withColumnsRenamed({"key": "a", "text": "text_a"}), "a").select("a", "b", "text_a", "text_b")
     schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
 
+    @frugal
     def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, 2):
             one, first_one, _, _ = word_hashes(data, offsets)
@@ -203,6 +205,7 @@ def _across(texts: DataFrame) -> DataFrame:
     """
     schema = StructType([StructField("key", LongType()), StructField("root", LongType()), StructField("grams", ArrayType(LongType()))])
 
+    @frugal
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, 2):
             words, first, _, _ = word_hashes(data, offsets)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from tourledger.llm.common import cut, ensure_checkpoint_dir, mix, numbered, pick, pieces, text_bytes, words8
+from tourledger.llm.common import cut, ensure_checkpoint_dir, frugal, give_back, mix, numbered, pick, pieces, text_bytes, words8
 from tourledger.llm.suffix_sorting import suffix_order
 from tourledger.llm.warc import open_uri
 
@@ -265,6 +265,7 @@ def write_packs(docs: DataFrame, text: int) -> DataFrame:
     store, path = open_uri(folder)
     store.create_dir(path, recursive=True)
 
+    @frugal
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         for number, (batch, data, offsets) in enumerate(pieces(batches, text, PACK_BYTES)):
@@ -302,6 +303,7 @@ def _bitmaps(replies: list[dict] | None) -> dict[int, np.ndarray]:
 def _shared_anchors(packs: DataFrame, buckets: int, text: int, doc: int) -> DataFrame:
     """For each pack and bucket a bit for each entry: whether several rows have it."""
 
+    @frugal
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack, uri in _each_pack(batches):
             edges, short, parts, twice, _ = _read_pack(uri, text, doc).entries(buckets)
@@ -364,6 +366,8 @@ def _least_in_groups(asked: DataFrame) -> DataFrame:
         edges = np.cumsum([0, *sizes])
         replies = [_runs(least[which[x:y]]) for x, y in zip(edges[:-1], edges[1:])]
         binary = [pa.chunked_array([pa.array([r[k].tobytes() for r in replies], pa.binary())]) for k in range(3)]
+        del a, w, around, distinct, least, replies
+        give_back()
         return pa.table({"pack": group.column("pack"), "bucket": group.column("bucket"), "runs": binary[0], "lengths": binary[1], "values": binary[2]})
 
     return asked.groupBy("bucket").applyInArrow(compare, _ddl(_REPLY))
@@ -411,6 +415,7 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame
     grouped = lambda df, *columns: df.groupBy("pack").agg(F.collect_list(F.struct(*columns)).alias(columns[-1] + "_list"))
     shared = cut(grouped(_shared_anchors(packs, buckets, text, doc), "bucket", "shared"))
 
+    @frugal
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack, uri, bitmaps in _each_pack(batches):
             edges, anchor, around, ids, _, _ = _read_pack(uri, text, doc).surroundings(buckets, _bitmaps(bitmaps))
@@ -423,6 +428,7 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame
     kept = [own.columns.index(name) for name in carry]
     schema = StructType([*own.select(*carry).schema.fields, *_OUT])
 
+    @frugal
     def remove(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, uri, bitmaps, found in _each_pack(batches):
             pack = _read_pack(uri, text, doc)
