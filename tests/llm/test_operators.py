@@ -383,6 +383,23 @@ def test_rewritten_history_is_found(spark):
     assert row.rewrites == [1, 2] and row.formatted == template([("assistant", f"text {k}") for k in range(3)])
 
 
+def test_templates_that_need_the_whole_conversation(spark):
+    """Over PIECE_TURNS turns: history rewritten at each turn, only after 40 turns, and turn numbers."""
+    last = lambda own: "".join(f"[{r}:{t if k == len(own) - 1 else '...'}]" for k, (r, t) in enumerate(own))
+    late = lambda own: "".join(f"[{r}:{t}]" for r, t in (own if len(own) < 40 else own[1:]))
+    counted = lambda own: "".join(f"{k} {r}: {t};" for k, (r, t) in enumerate(own))
+    turns = [("assistant" if k % 2 else "user", f"text {k}") for k in range(chat.PIECE_TURNS + 13)]
+    made = spark.createDataFrame([(1, k, *turn) for k, turn in enumerate(turns)], "conv_id long, turn long, role string, text string")
+    for template, rewrites in ((last, list(range(1, len(turns)))), (late, list(range(39, len(turns)))), (counted, [])):
+        row, = chat.format_conversations(made, template).collect()
+        assert row.formatted == template(turns) and len(row.spans) == len(row.masked) == len(turns)
+        assert [k for k in row.rewrites if template(turns[: k + 1]).startswith(template(turns[:k]))] == []
+        assert set(row.rewrites) == {k for k in range(1, len(turns)) if not template(turns[: k + 1]).startswith(template(turns[:k]))}
+        assert all(0 <= x for span in row.spans for x in span) and (template is late or row.rewrites == rewrites)
+        if template is counted:
+            assert [row.formatted[a:b] for _, _, a, b in row.spans] == [text if role == "assistant" else "" for role, text in turns]
+
+
 # WARC
 
 

@@ -15,7 +15,8 @@ from tourledger.llm.common import pick
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
-#: Turns that are rendered together; a longer conversation goes on in another piece.
+#: Turns of ``chat_markup`` that are rendered together; a longer conversation goes on in
+#: another piece. Conversations in other templates are rendered whole.
 PIECE_TURNS = 32
 #: Stands for a turn's text while the place of the text is looked for: private characters.
 PROBE = "\ue000\ue001"
@@ -74,13 +75,14 @@ class Renderer:
     template has rewritten history; the turn's span then begins where the outputs part. The
     text's place in the span shows when the turn is rendered with a probe for its text.
 
-    After ``piece`` turns a new piece begins with the last turn as its only context, so that
-    work and memory stay in proportion to a conversation's length. This is exact for
-    templates whose output for a turn depends on it, on the turn before and on whether it is
-    the first; a piece's output is what follows its context.
+    With ``piece``, a new piece begins after so many turns with the last turn as its only
+    context, so that work and memory stay in proportion to a conversation's length. This is
+    exact only for templates whose output for a turn depends on it, on the turn before and on
+    whether it is the first; a piece's output is what follows its context. Without it, every
+    prefix is rendered from the first turn on, which is exact for any template.
     """
 
-    def __init__(self, template: Template, piece: int = PIECE_TURNS):
+    def __init__(self, template: Template, piece: int | None = None):
         self.template, self.piece = template, piece
         self.turns: list[Turn] = []
         self.output, self.context = "", 0
@@ -105,7 +107,7 @@ class Renderer:
 
     @property
     def full(self) -> bool:
-        return len(self.spans) >= self.piece
+        return self.piece is not None and len(self.spans) >= self.piece
 
     def take(self) -> tuple[str, list[list[int]], list[int]]:
         """The piece's output, its turns' spans and texts in it, and which turns rewrote
@@ -150,16 +152,24 @@ def in_order(conversations: DataFrame) -> DataFrame:
     return rows.repartition("conv_id").sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "text")
 
 
-def format_conversations(conversations: DataFrame, template: Template = chat_markup, masked_role: str = "assistant", piece: int = PIECE_TURNS) -> DataFrame:
-    """Conversations rendered by any template, a row for each piece of up to ``piece`` turns.
+def format_conversations(conversations: DataFrame, template: Template = chat_markup, masked_role: str = "assistant", piece: int | None = None) -> DataFrame:
+    """Conversations rendered by any template, each in one row or, with ``piece``, in a row for
+    each piece of up to so many turns.
+
+    A ``piece`` may only be given for templates that ``Renderer`` can cut; ``chat_markup`` is
+    one, and is cut into pieces of PIECE_TURNS. What another template does with a turn's number,
+    or with turns far back, shows in whole prefixes alone, so without ``piece`` it gets them:
+    rendering then takes time by the square of a conversation's length, and memory for all of it.
 
     Rows: conv_id, piece, formatted, spans (for each turn where its span and its text under
     the loss mask begin and end, in code points of ``formatted``; the text is empty if it is
     not masked), masked (of each turn), rewrites (turns at which the template changed what it
     had rendered before). Order and nulls are as ``in_order`` has them; repeated rows are
-    repeated turns. A conversation's rows come one after the other and are streamed, so its
-    length is no matter of memory.
+    repeated turns. A conversation's rows come one after the other and are streamed, so with
+    pieces its length is no matter of memory.
     """
+    if piece is None and template is chat_markup:
+        piece = PIECE_TURNS
     schema = pa.schema([
         ("conv_id", pa.int64()), ("piece", pa.int64()), ("formatted", pa.string()), ("spans", pa.list_(pa.list_(pa.int64()))),
         ("masked", pa.list_(pa.bool_())), ("rewrites", pa.list_(pa.int64())),
