@@ -22,7 +22,7 @@ ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without letters, or like no language, go."""
+    """Documents without letters go, and all where no language was learned."""
     return known_language(docs)
 
 

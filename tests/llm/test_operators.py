@@ -118,6 +118,17 @@ def test_no_languages(docs, none, rows):
     assert len(found) == len(rows) and {(r.lang_pred, r.score) for r in found} == {("und", 0.0)}
 
 
+def test_known_language_rejects_what_is_undetermined_alone(spark, plain):
+    """One-word texts, in letters that no language was learned from too, are kept."""
+    words = ["zq", "xkcd", "Ωμέγα", "привет", "שלום", "नमस्ते", "你好", "こんにちは", "한국어", "qwxz", "vjw", "Ж"]
+    odd = [(None, 2000 + k, f"{word}{word[::-1]}" * (1 + k // 12), None, "a", None, None, None) for k, word in enumerate(words * 3)]
+    odd += [(None, 2100, "12 34", None, "a", None, None, None), (None, 2101, None, None, "a", None, None, None)]
+    docs = plain.unionByName(spark.createDataFrame(odd, DOCS).toDF("upper", *DOCS.names[1:]).drop("upper"))
+    expected = Counter(r.doc_id for r in language_id.languages(docs).where("lang_pred != 'und'").collect())
+    assert set(range(2000, 2036)) <= set(expected) and 2100 not in expected and 2101 not in expected
+    assert Counter(r.doc_id for r in language_id.known_language(docs).collect()) == expected
+
+
 # Mixing
 
 

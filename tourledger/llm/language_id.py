@@ -215,10 +215,11 @@ def languages(docs: DataFrame) -> DataFrame:
 
 
 def known_language(docs: DataFrame) -> DataFrame:
-    """The documents, with their own columns, that have letters and a bundle nearer to some
-    language's prototype than at a right angle; all others are rejected."""
+    """The documents, with their own columns, that ``languages`` gives a language; those that
+    are 'und' there are rejected. No score is too low: that of a short text, or of one in letters
+    that no language was learned from, is chance."""
     prototypes = language_prototypes(learning_rows(docs))
     plain, at = numbered(docs)
     found = identify(plain, at["text"], prototypes, plain.columns)
-    kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") > 0))
+    kept = found.where(F.col("lang_pred") != UNDETERMINED)
     return kept.select(*plain.columns).toDF(*docs.columns)
