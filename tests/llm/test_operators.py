@@ -491,6 +491,23 @@ def test_toxicity(spark, docs, none, rows):
     assert toxicity.toxicity(none, labels).collect() == []
 
 
+def test_lexicon_holds_rare_words_and_more_than_its_own_features(spark):
+    """150 words of seven letters, each with three stems, in five toxic texts each; the sample
+    that the classifier is fitted on has hardly any of them twice."""
+    rng = random.Random(12)
+    vile = ["".join(rng.choice("bcdfgjkqvwxz") for _ in range(7)) for _ in range(150)]
+    texts = [(k, prose(rng, 30) + (f" {vile[k // 4 % 150]} " if k % 4 == 0 else " ") + prose(rng, 5)) for k in range(3000)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(3000)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels, 400)
+    assert len(model.voters.sorted) > 400
+    found = [r for r in toxicity.score(docs, model).collect() if r.held_out]
+    known = Counter(vile[k // 4 % 150] for k in range(0, 3000, 4) if held(k, 5) != 0)
+    toxic = [r.score for r in found if r.doc_id % 4 == 0 and known[vile[r.doc_id // 4 % 150]] >= 3]
+    clean = [r.score for r in found if r.doc_id % 4]
+    assert len(toxic) > 100 and np.quantile(toxic, 0.05) > np.quantile(clean, 0.95)
+
+
 def test_label_model_finds_accuracies_and_copies():
     rng = np.random.default_rng(0)
     truth = rng.random(20_000) < 0.2

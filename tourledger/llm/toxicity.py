@@ -7,21 +7,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from tourledger.llm.common import LOWER, WORD_BYTES, pick, pieces, prefix_hash, remainder, span_hash, spans
 
-#: Labelled rows that lexicons and the classifier are fitted on, at most; drawn by a hash of the id.
+#: Labelled rows that the classifier is fitted on, at most; drawn by a hash of the id. The
+#: lexicon is counted over all labelled rows.
 SAMPLE_ROWS = 20_000
-#: Words and word stems in the lexicons.
+#: Words and word stems of the lexicon that are features of their own; all entries, however
+#: many, are counted in so many features by lift.
 LEXICON = 256
-#: Lexicon voters, each with an equal share of the lexicon; the pattern voters come on top.
+LEVELS = 8
+#: Lexicon voters, each with an equal share of the first entries, and two for all entries; the
+#: pattern voters come on top.
 LEXICON_VOTERS = 12
-VOTERS = LEXICON_VOTERS + 4
+VOTERS = LEXICON_VOTERS + 2 + 4
 #: A word's first bytes that count as its stem.
 STEMS = (4, 5, 6)
+#: An entry lifts a toxic text's odds by so much, in logs, and is in so many toxic texts or has
+#: so large a likelihood ratio against chance (one in a hundred).
+LIFT = 1.5
 MIN_COUNT = 5
+EVIDENCE = 6.63
 _SALTS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
 
 
@@ -39,21 +47,41 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(rows), np.concatenate(hashes), np.diff(first)
 
 
+def _known(labels: DataFrame) -> DataFrame:
+    """The ids that labels may be learned from, each with its label."""
+    known = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)")
+    return known.where(remainder(F.col("doc_id"), 5) != 0).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def labelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """text and toxic of all labelled documents that labels may be learned from."""
+    rows = pick(docs, "doc_id", "text").where(F.col("doc_id").isNotNull() & (remainder(F.col("doc_id"), 5) != 0))
+    return rows.join(_known(labels).hint("shuffle_hash"), "doc_id").select("text", "toxic")
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
-    """text and toxic of up to ``limit`` labelled documents that labels may be learned from.
+    """text and toxic of up to ``limit`` of the labelled documents.
 
     The ids are drawn first, by a hash, and are broadcast: ``limit`` bounds them.
     """
-    known = pick(labels, "doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)")
-    known = known.where(remainder(F.col("doc_id"), 5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    drawn = known.orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(limit)
+    drawn = _known(labels).orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id").limit(limit)
     rows = pick(docs, "doc_id", "text").where("doc_id is not null")
-    return rows.join(F.broadcast(drawn), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
+    return rows.join(F.broadcast(drawn), "doc_id").select("text", "toxic")
+
 
+@dataclass
+class Lexicon:
+    """Hashes of words and stems, best first, and the logs of their lifts, with all texts and
+    without any one of their toxic texts (-inf: not in the lexicon then)."""
+
+    grams: np.ndarray
+    lift: np.ndarray
+    without: np.ndarray
 
-def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> np.ndarray:
-    """Hashes of the words and stems that speak most for toxic texts, best first: those with
-    the largest share of the evidence, documents times log of lift."""
+
+def learn_lexicon(rows: DataFrame) -> Lexicon:
+    """All words and stems that speak for toxic texts, by LIFT and by MIN_COUNT or EVIDENCE;
+    first those with the largest share of the evidence, documents times log of lift."""
     schema = StructType([StructField("gram", LongType()), StructField("ones", LongType()), StructField("zeros", LongType())])
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,46 +98,72 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON) -> np.ndarray:
                 both = np.diff(np.append(begins, len(gram)))
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(ones), pa.array(both - ones)], names=schema.names)
 
-    n = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1) or not n.get(0):
-        return np.zeros(0, np.uint64)
-    counts = sample.mapInArrow(count, schema).groupBy("gram").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
-    lift = F.log((F.col("ones") + 0.5) / (n[1] + 1)) - F.log((F.col("zeros") + 0.5) / (n[0] + 1))
-    telling = counts.where(F.col("ones") >= MIN_COUNT).withColumn("lift", lift).where("lift > 1.5")
-    best = telling.orderBy((F.col("ones") * F.col("lift")).desc(), "gram").limit(size).collect()
-    return np.array([row.gram for row in best], np.int64).view(np.uint64)
+        return Lexicon(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
+    counts = rows.mapInArrow(count, schema).groupBy("gram").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros"))
+    zeros, share = F.col("zeros"), n[1] / (n[0] + n[1])
+
+    def lift(ones: Column) -> Column:
+        return F.log((ones + 0.5) / (n[1] + 1)) - F.log((zeros + 0.5) / (n[0] + 1))
+
+    def telling(ones: Column) -> Column:
+        surprise = ones * F.log(ones / ((ones + zeros) * share)) + F.when(zeros > 0, zeros * F.log(zeros / ((ones + zeros) * (1 - share)))).otherwise(0)
+        return (ones > 0) & (lift(ones) > LIFT) & ((ones >= MIN_COUNT) | (2 * surprise >= EVIDENCE))
+
+    ones = F.col("ones")
+    found = counts.where(telling(ones)).select("gram", "ones", lift(ones).alias("lift"), F.when(telling(ones - 1), lift(ones - 1)).otherwise(float("-inf")).alias("without")).toArrow()
+    gram, many, lifts, without = (found.column(k).to_numpy() for k in range(4))
+    order = np.lexsort((gram, -np.round(many * lifts, 9)))
+    return Lexicon(gram[order].astype(np.int64).view(np.uint64), lifts[order].astype(np.float64), without[order].astype(np.float64))
 
 
 class Voters:
     """Lexicon and pattern voters over a learned lexicon. A voter fires or abstains."""
 
-    def __init__(self, lexicon: np.ndarray):
-        self.order = np.argsort(lexicon)
-        self.sorted = lexicon[self.order]
-        self.size = len(lexicon)
-
-    def hits(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """How often each row has each lexicon entry, and its number of words."""
+    def __init__(self, lexicon: Lexicon):
+        order = np.argsort(lexicon.grams)
+        self.sorted, self.rank = lexicon.grams[order], order
+        self.own = min(len(order), LEXICON)
+        self.size = self.own + LEVELS
+        edges = np.quantile(lexicon.lift, np.arange(1, LEVELS) / LEVELS) if len(order) else np.zeros(0)
+        self.level = np.searchsorted(edges, lexicon.lift, "right")[order]
+        self.without = np.where(np.isfinite(lexicon.without), np.searchsorted(edges, lexicon.without, "right"), -1)[order]
+
+    def hits(self, data: np.ndarray, offsets: np.ndarray, toxic: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """How often each row has each of the first entries, and all entries of each level of
+        lift or higher ones, and its number of words. For rows that the lexicon was learned
+        from, ``toxic`` has their labels: a toxic row's entries are as they were without it."""
         rows = len(offsets) - 1
         row, gram, words = _grams(data, offsets)
-        if not self.size:
-            return np.zeros((rows, 0), np.int64), words
-        place = np.minimum(np.searchsorted(self.sorted, gram), self.size - 1)
+        if not len(self.sorted):
+            return np.zeros((rows, self.size), np.int64), words
+        place = np.minimum(np.searchsorted(self.sorted, gram), len(self.sorted) - 1)
         hit = self.sorted[place] == gram
-        flat = np.bincount(row[hit] * self.size + self.order[place[hit]], minlength=rows * self.size)
-        return flat.reshape(rows, self.size), words
+        row, place = row[hit], place[hit]
+        level = self.level[place] if toxic is None else np.where(toxic[row], self.without[place], self.level[place])
+        row, place, level = row[level >= 0], place[level >= 0], level[level >= 0]
+        first = self.rank[place] < self.own
+        at = np.concatenate([row[first] * self.size + self.rank[place[first]], row * self.size + self.own + level])
+        found = np.bincount(at, minlength=rows * self.size).reshape(rows, self.size)
+        found[:, self.own :] = found[:, self.own :][:, ::-1].cumsum(axis=1)[:, ::-1]
+        return found, words
 
     def votes(self, hits: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """A bit for each voter that fires: lexicon shares first, then the patterns - two
-        different entries, an entry twice, one in 50 words, one of the ten best entries."""
+        """A bit for each voter that fires: shares of the first entries, all entries, those
+        of higher lift, then the patterns of first entries - two different ones, one twice, one
+        in 50 words, one of the ten best."""
         fired = np.zeros((len(hits), VOTERS), bool)
+        hits, levels = hits[:, : self.own], hits[:, self.own :]
         for v in range(LEXICON_VOTERS):
             fired[:, v] = (hits[:, v::LEXICON_VOTERS] > 0).any(axis=1)
+        fired[:, LEXICON_VOTERS] = levels[:, 0] > 0
+        fired[:, LEXICON_VOTERS + 1] = levels[:, LEVELS // 2] > 0
         total = hits.sum(axis=1)
-        fired[:, LEXICON_VOTERS] = (hits > 0).sum(axis=1) >= 2
-        fired[:, LEXICON_VOTERS + 1] = (hits > 1).any(axis=1)
-        fired[:, LEXICON_VOTERS + 2] = (total * 50 >= words) & (total > 0)
-        fired[:, LEXICON_VOTERS + 3] = (hits[:, :10] > 0).any(axis=1)
+        fired[:, -4] = (hits > 0).sum(axis=1) >= 2
+        fired[:, -3] = (hits > 1).any(axis=1)
+        fired[:, -2] = (total * 50 >= words) & (total > 0)
+        fired[:, -1] = (hits[:, :10] > 0).any(axis=1)
         return fired
 
     @staticmethod
@@ -117,9 +171,10 @@ class Voters:
         return fired @ (1 << np.arange(VOTERS))
 
     def features(self, hits: np.ndarray, words: np.ndarray) -> np.ndarray:
+        hits, levels = hits[:, : self.own], hits[:, self.own :]
         total = hits.sum(axis=1)
-        more = [np.log1p(total), np.log1p((hits > 0).sum(axis=1)), total / np.maximum(words, 1)]
-        return np.column_stack([np.minimum(hits, 1), *more, np.ones(len(hits))]).astype(np.float64)
+        more = [np.log1p(total), np.log1p((hits > 0).sum(axis=1)), total / np.maximum(words, 1), levels[:, 0] / np.maximum(words, 1)]
+        return np.column_stack([np.minimum(hits, 1), np.log1p(levels), *more, np.ones(len(hits))]).astype(np.float64)
 
 
 @dataclass
@@ -209,7 +264,7 @@ def _sample_hits(sample: DataFrame, voters: Voters) -> tuple[np.ndarray, np.ndar
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in pieces(batches, 0):
-            hits, words = shared.value.hits(data, offsets)
+            hits, words = shared.value.hits(data, offsets, batch.column(1).to_numpy(zero_copy_only=False).astype(bool))
             entries = [np.flatnonzero(h) for h in hits]
             columns = [pa.array([e.tolist() for e in entries], pa.list_(pa.int32())), pa.array([h[e].tolist() for h, e in zip(hits, entries)], pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(words, pa.int64()), *columns], names=schema.names)
@@ -228,10 +283,10 @@ class ToxicityModel:
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> ToxicityModel:
-    """Voters from the labelled sample, the label model from all documents' votes, and the
-    classifier from the sample's posterior labels."""
+    """Voters from all labelled rows, the label model from all documents' votes, and the
+    classifier from a sample's posterior labels."""
+    voters = Voters(learn_lexicon(labelled_rows(docs, labels)))
     sample = labelled_sample(docs, labels, limit)
-    voters = Voters(learn_lexicon(sample))
     hits, words, toxic = _sample_hits(sample, voters)
     known = voters.votes(hits, words)
     patterns, counts = _vote_counts(pick(docs, "text"), voters)
@@ -267,8 +322,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted (score >= 0.5) of every document row.
 
     Labels are learned from documents whose crc32 of the id is not 0 modulo 5 (a null id
-    counts as the empty text, so it is held out). Lexicons and classifier are fitted on at
-    most SAMPLE_ROWS of them; the label model on the votes of all documents. Only the text
+    counts as the empty text, so it is held out). The lexicon is counted over all of them and
+    holds every entry that passes its tests; the classifier is fitted on at most SAMPLE_ROWS
+    of them, the label model on the votes of all documents. Only the text
     is an input of a score; null texts are empty. Several labels of an id are one, toxic if
     any is; null ones are ignored. Without labels of both kinds the lexicon is empty and
     all scores are equal.
