@@ -289,6 +289,19 @@ def test_links_across_a_hub(spark):
     assert {(r.group_id, r.group_size) for r in found} == {(0, 12)}
 
 
+def test_short_near_copies(spark):
+    """Nine words against eight of them, for which sketches often do not agree, and repeated words."""
+    rng = random.Random(21)
+    texts = []
+    for k in range(1500):
+        words = [f"{x}{k}" for x in prose(rng, 9).split()]
+        texts += [" ".join(words), " ".join(words[:8] if k % 2 else words[1:])]
+    texts += ["again " * 12, "again " * 14, "round and " * 8, "round and " * 9]
+    made = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = collected(near_dedup.near_duplicates(made), "doc_id", "group_id", "group_size")
+    assert found == sorted(((k, k // 2 * 2, 2) for k in range(len(texts))), key=repr)
+
+
 def test_edit_distance():
     rng = random.Random(1)
     for _ in range(200):

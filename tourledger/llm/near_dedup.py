@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StructField, StructType
 
 from tourledger.llm.common import cut, frugal, mix, numbered, pick, pieces, prefix_hash, schema_of, span_hash, text_bytes
 from tourledger.llm.components import connected_components
@@ -17,10 +17,15 @@ from tourledger.llm.decontamination import normalised
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Sketches of a document, and the k-mers that one keeps. At similarity 0.8 two documents agree
-#: in a sketch with probability 0.41, and in fewer than two of 32 once in a million.
+#: in a sketch with probability 0.41, if it has many k-mers, and in none of 32 once in 20 million.
 SKETCHES = 32
 KEPT = 4
+#: Sketches that a key and its hub have in common if they are compared first.
 AGREE = 2
+#: Texts of up to so many distinct shingles need share no sketch to be compared.
+SHORT = 32
+#: What a text similar to one of those has at most.
+_SHORT = int(SHORT / SIMILARITY)
 
 _RNG = np.random.default_rng(4)
 _WORD_FACTORS = _RNG.integers(1, 1 << 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -113,10 +118,11 @@ def text_keys(data: np.ndarray, offsets: np.ndarray, text: np.ndarray, ends: np.
 
 def with_keys(df: DataFrame, text: str, carry: list[str], sketched: bool) -> DataFrame:
     """The columns in ``carry`` with ``key``, equal for texts of equal words and null for null
-    texts, and if asked for ``sketches``, null for texts without words."""
+    texts, and if asked for ``sketches``, null for texts without words, and ``short``, whether
+    the text is compared without a common sketch too."""
     at = df.columns.index(text)
     kept = [df.columns.index(name) for name in carry]
-    fields = [StructField("key", LongType())] + [StructField("sketches", ArrayType(LongType()))] * sketched
+    fields = [StructField("key", LongType())] + [StructField("sketches", ArrayType(LongType())), StructField("short", BooleanType())] * sketched
     schema = schema_of(df.select(*carry), *fields)
 
     @frugal
@@ -131,6 +137,12 @@ def with_keys(df: DataFrame, text: str, carry: list[str], sketched: bool) -> Dat
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(sketches.ravel()), SKETCHES).cast(pa.list_(pa.int64()))
                 has_words = pa.array(np.diff(first) > 0)
                 columns.append(pa.compute.if_else(has_words, lists, pa.scalar(None, lists.type)))
+                order = np.lexsort((grams, row))
+                g, r = grams[order], row[order]
+                fresh = np.ones(len(g), bool)
+                fresh[1:] = (g[1:] != g[:-1]) | (r[1:] != r[:-1])
+                distinct = np.bincount(r[fresh], minlength=batch.num_rows)
+                columns.append(pa.array((distinct > 0) & (distinct <= _SHORT)))
             yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *columns], names=schema.names)
 
     return df.mapInArrow(read, schema)
@@ -244,16 +256,16 @@ def near_duplicate_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The documents' doc_id and key, and for each key its group: key, group_id, group_size,
     first (whether it is the key of the group's document that stays).
 
-    Texts of equal words are one key from the start. Two keys are candidates if they agree in
-    AGREE sketches. Where a sketch is common to several keys, each is first held against one
-    hub, the key whose sketches most others share. Components form; where a sketch still
-    joins different ones, all candidates across them are compared but those that an exact
-    bound on the similarity rules out. So every candidate pair is compared, or in one
-    component already, or below the threshold.
+    Texts of equal words are one key from the start. Where a sketch is common to several keys,
+    each is first held against one hub, the key whose sketches most others share, if they
+    agree in AGREE. Components form; of the keys whose sketches still join different ones, and of
+    all short texts, all pairs across components are compared but those that an exact bound on the
+    similarity rules out. So every pair at the threshold is found, or in one component already,
+    unless one of its texts is not short and shares no sketch with any key outside its component.
     """
     plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
     rows = cut(with_keys(plain, "text", ["doc_id"], sketched=True))
-    keys = cut(rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.any_value("sketches").alias("sketches")))
+    keys = cut(rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.any_value("sketches").alias("sketches"), F.any_value("short").alias("short")))
 
     entries = keys.where("sketches is not null").select("key", F.explode("sketches").alias("sketch")).repartition("sketch")
     sizes = entries.groupBy("sketch").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -266,7 +278,8 @@ def near_duplicate_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = against.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.max("hub_score").alias("hub_score"))
     best = shared.groupBy("b").agg(F.max(F.struct("n", "hub_score", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
 
-    needed = members.select("key").distinct().join(keys.select("key", "least_id", "sketches"), "key")
+    short = keys.where("short").select("key")
+    needed = members.select("key").union(short).distinct().join(keys.select("key", "least_id", "sketches"), "key")
     source = plain.join(needed.select("key", "least_id").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("least_id")))
     found = with_keys(source.select(F.col("key").alias("wanted"), "text"), "text", ["wanted", "text"], sketched=False)
     texts = cut(found.where("key = wanted").select("key", "text").dropDuplicates(["key"]))
@@ -276,8 +289,9 @@ def near_duplicate_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     roots = connected_components(links)
     placed = members.select("sketch", "key").join(roots.withColumnRenamed("v", "key"), "key", "left").select("sketch", "key", F.coalesce("root", "key").alias("root"))
     open_sketches = placed.groupBy("sketch").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("sketch")
-    rest = placed.join(open_sketches, "sketch").select("key", "root").distinct()
-    across = _agreeing(_across(texts.join(rest, "key")), needed)
+    alone = short.join(roots.withColumnRenamed("v", "key"), "key", "left").select("key", F.coalesce("root", "key").alias("root"))
+    rest = placed.join(open_sketches, "sketch").select("key", "root").union(alone).distinct()
+    across = _across(texts.join(rest, "key"))
     tested = first.union(first.select("b", "a"))
     more = _linked(cut(across.join(tested, ["a", "b"], "left_anti")), texts)
     roots = connected_components(links.union(more))
