@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tourledger.llm.chat import formatted_conversations
@@ -19,6 +20,7 @@ from tourledger.llm.hidden_markov import language_model_scores
 from tourledger.llm.language_id import languages
 from tourledger.llm.mixing import mix_sources
 from tourledger.llm.near_dedup import near_duplicates
+from tourledger.llm.piece_encoding import decoded, encoded
 from tourledger.llm.substring_dedup import repeat_digests
 from tourledger.llm.topk import top_k
 from tourledger.llm.toxicity import toxicity
@@ -69,9 +71,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    tokens = encoded(table(spark, sf_dir, "documents"), path, ["doc_id"])
+    tokens = tokens.withColumn("ids_sha256", F.sha2("ids", 256))
+    texts = decoded(tokens, path, ["doc_id", "n_tokens", "ids_sha256"])
+    return texts.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 _QUERIES = (
     op1_chat_formatting, op2_source_mixing, op3_decontamination, op4_near_duplicates, op5_warc, op6_toxicity,
-    op7_language_model, op8_substring_dedup, op9_top_k, op10_language_id,
+    op7_language_model, op8_substring_dedup, op9_top_k, op10_language_id, op13_sentencepiece,
 )
 
 
