@@ -18,6 +18,7 @@ from tourledger.llm.common import pick, table
 from tourledger.llm.decontamination import contamination
 from tourledger.llm.hidden_markov import language_model_scores
 from tourledger.llm.language_id import languages
+from tourledger.llm.manifest import document_manifest, folded, siblings
 from tourledger.llm.mixing import mix_sources
 from tourledger.llm.near_dedup import near_duplicates
 from tourledger.llm.piece_encoding import decoded, encoded
@@ -71,6 +72,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = document_manifest(table(spark, sf_dir, "documents"))
+    root = folded(F.coalesce("changed", "leaf"), F.col("path"))
+    rows = rows.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings(F.col("path")), 256).alias("proof_sha256"), root.alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     tokens = encoded(table(spark, sf_dir, "documents"), path, ["doc_id"])
@@ -81,7 +89,7 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     op1_chat_formatting, op2_source_mixing, op3_decontamination, op4_near_duplicates, op5_warc, op6_toxicity,
-    op7_language_model, op8_substring_dedup, op9_top_k, op10_language_id, op13_sentencepiece,
+    op7_language_model, op8_substring_dedup, op9_top_k, op10_language_id, op12_manifest, op13_sentencepiece,
 )
 
 
@@ -222,6 +230,66 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+# CRC32 by the table of its remainders, a byte at a time.
+_CRC_TABLE = """(SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS remainders)"""
+_CRC = "xor(list_reduce(list_prepend(4294967295, {}), lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295)"
+_DIGITS = "list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda x: CAST(ord(x) AS BIGINT))"
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field_sql, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+def _tree_sql(name: str, levels: int) -> str:
+    """From NAME0 (tree, slot, d, n) the nodes of each level, and the runs under each parent."""
+    steps = []
+    for k in range(levels):
+        steps.append(f"""{name}_runs{k} AS (
+  SELECT tree, slot // 8 AS parent, any_value(n) AS n, list(d ORDER BY slot) AS ds FROM {name}{k} GROUP BY tree, slot // 8
+), {name}{k + 1} AS (
+  SELECT tree, parent AS slot, CASE WHEN n > 1 THEN sha256(array_to_string(ds, '')) ELSE ds[1] END AS d, (n + 7) // 8 AS n FROM {name}_runs{k}
+)""")
+    return ", ".join(steps)
+
+
+def _path_sql(name: str, before: str, levels: int) -> str:
+    """From BEFORE (r, tree, s, f, proof) up the levels of a tree: what is folded, and the siblings."""
+    steps = []
+    for k in range(levels):
+        low, high = "coalesce(array_to_string(ds[1:s % 8], ''), '')", "coalesce(array_to_string(ds[s % 8 + 2:], ''), '')"
+        steps.append(f"""{name}_paths{k + 1} AS (
+  SELECT r, p.tree, s // 8 AS s, CASE WHEN n > 1 THEN sha256({low} || f || {high}) ELSE f END AS f,
+    CASE WHEN n > 1 THEN proof || {low} || {high} ELSE proof END AS proof
+  FROM {before if k == 0 else f"{name}_paths{k}"} p JOIN {name}_runs{k} q ON p.tree = q.tree AND p.s // 8 = q.parent
+)""")
+    return ", ".join(steps)
+
+
+_LEVELS = 8
+MANIFEST = f"""
+WITH crc AS {_CRC_TABLE}, rows AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf_sql("text")} AS leaf,
+    CASE WHEN {_CRC.format(_DIGITS)} % 3 = 0 THEN {_leaf_sql(_LOWER.format("text"))} END AS changed
+  FROM documents, crc
+), leaves AS (
+  SELECT *, row_number() OVER () AS r, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS slot FROM rows
+), node0 AS (SELECT tree, slot, leaf AS d, count(*) OVER (PARTITION BY tree) AS n FROM leaves), {_tree_sql("node", _LEVELS)},
+top AS (SELECT tree AS of, row_number() OVER (ORDER BY tree) - 1 AS slot, d, count(*) OVER () AS n FROM node{_LEVELS}),
+lang0 AS (SELECT '' AS tree, slot, d, n FROM top), {_tree_sql("lang", _LEVELS)},
+own AS (SELECT r, tree, slot AS s, coalesce(changed, leaf) AS f, '' AS proof FROM leaves), {_path_sql("node", "own", _LEVELS)},
+over AS (SELECT r, '' AS tree, slot AS s, f, proof FROM node_paths{_LEVELS} p JOIN top ON p.tree = top.of), {_path_sql("lang", "over", _LEVELS)}
+SELECT doc_id, leaf, top.d AS subroot, l.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = l.d AS verified
+FROM leaves JOIN lang_paths{_LEVELS} p USING (r) JOIN top ON leaves.tree = top.of, lang{_LEVELS} l
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat_formatting": CHAT, "op2_source_mixing": MIXING, "op3_decontamination": DECONTAMINATION, "op5_warc": WARC, "op9_top_k": TOP_K}
+    return {
+        "op1_chat_formatting": CHAT, "op2_source_mixing": MIXING, "op3_decontamination": DECONTAMINATION, "op5_warc": WARC,
+        "op9_top_k": TOP_K, "op12_manifest": MANIFEST,
+    }
