@@ -22,6 +22,7 @@ from tourledger.llm.manifest import document_manifest, folded, siblings
 from tourledger.llm.mixing import mix_sources
 from tourledger.llm.near_dedup import near_duplicates
 from tourledger.llm.piece_encoding import decoded, encoded
+from tourledger.llm.spelling import spelling_variants
 from tourledger.llm.substring_dedup import repeat_digests
 from tourledger.llm.topk import top_k
 from tourledger.llm.toxicity import toxicity
@@ -72,6 +73,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = document_manifest(table(spark, sf_dir, "documents"))
     root = folded(F.coalesce("changed", "leaf"), F.col("path"))
@@ -89,7 +94,7 @@ def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     op1_chat_formatting, op2_source_mixing, op3_decontamination, op4_near_duplicates, op5_warc, op6_toxicity,
-    op7_language_model, op8_substring_dedup, op9_top_k, op10_language_id, op12_manifest, op13_sentencepiece,
+    op7_language_model, op8_substring_dedup, op9_top_k, op10_language_id, op11_spelling_variants, op12_manifest, op13_sentencepiece,
 )
 
 
@@ -287,9 +292,38 @@ SELECT doc_id, leaf, top.d AS subroot, l.d AS root, sha256(proof) AS proof_sha25
 FROM leaves JOIN lang_paths{_LEVELS} p USING (r) JOIN top ON leaves.tree = top.of, lang{_LEVELS} l
 """
 
+_RUN_BYTES = """flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+  lambda x: CASE WHEN ord(x) < 128 THEN [CAST(ord(x) AS BIGINT)] ELSE [CAST(192 + ord(x) // 64 AS BIGINT), CAST(128 + ord(x) % 64 AS BIGINT)] END))"""
+SPELLING = f"""
+WITH RECURSIVE crc AS {_CRC_TABLE}, runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[a-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY doc_id, run
+), hashed AS (SELECT run, c, length(run) AS len, {_CRC.format(_RUN_BYTES)} AS h FROM runs, crc WHERE length(run) >= 5),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % len) || substr(run, h % len + 2) ELSE run END AS word, CAST(sum(c) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(c) >= 3
+), shorter AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k FROM near
+), found AS (
+  SELECT w.word, w.n, CASE WHEN near_n >= 2 * w.n THEN near END AS form, CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n, coalesce(n_near, 0) AS n_near
+  FROM words w LEFT JOIN best b ON w.word = b.word AND k = 1
+), chains AS (
+  SELECT word, word AS root FROM found
+  UNION ALL SELECT c.word, f.form FROM chains c JOIN found f ON c.root = f.word WHERE f.form IS NOT NULL
+), roots AS (SELECT c.word, c.root FROM chains c JOIN found f ON c.root = f.word WHERE f.form IS NULL)
+SELECT word, n, form, form_n, root, n_near FROM found JOIN roots USING (word)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_chat_formatting": CHAT, "op2_source_mixing": MIXING, "op3_decontamination": DECONTAMINATION, "op5_warc": WARC,
-        "op9_top_k": TOP_K, "op12_manifest": MANIFEST,
+        "op9_top_k": TOP_K, "op11_spelling_variants": SPELLING, "op12_manifest": MANIFEST,
     }
