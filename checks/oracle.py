@@ -395,6 +395,13 @@ _BY_DISCIPLINE = ("to_other_department", "to_other_government", "to_private_sect
 _BY_SOURCE = ("to_academia", "to_non_profit", "to_other_department", "to_other_government", "to_private_sector", "unknown_departure_type", "retired")
 _REGION_COLUMN = "in_or_out_of_national_capital_region"
 
+# One join of days with tours for each discipline, where the operator adds up steps.
+_AT_ONCE = """SELECT d.discipline_initial, d.date, count(t.full_name) AS tours_at_once
+FROM (SELECT DISTINCT discipline_initial, unnest([cds_start_date, cds_end_date_or_present]) AS date FROM tours
+      WHERE cds_start_date < cds_end_date_or_present) d
+LEFT JOIN tours t ON t.discipline_initial = d.discipline_initial AND t.cds_start_date <= d.date AND t.cds_end_date_or_present > d.date
+GROUP BY d.discipline_initial, d.date"""
+
 _BODIES = {
     "arrivals": "SELECT count(*) AS total_onboarded FROM (SELECT DISTINCT full_name, tour_number FROM tours)",
     "headcount_individual_staff": "SELECT count(*) AS total_individual_staff FROM (SELECT DISTINCT full_name FROM tours)",
@@ -545,6 +552,25 @@ FROM tours""",
     "merged_tours": "SELECT * REPLACE (round_even(duration_years, 9) AS duration_years) FROM merged",
     "tours_present_on_date": """SELECT full_name, tour_number, cds_start_date, cds_end_date FROM tours
 WHERE cds_start_date <= DATE '1999-07-01' AND cds_end_date_or_present > DATE '1999-07-01'""",
+    "tours_present_on_dates": """SELECT date, full_name, tour_number, cds_start_date, cds_end_date
+FROM (SELECT DISTINCT CAST(date_trunc('quarter', cds_start_date) AS DATE) AS date FROM tours) d
+JOIN tours ON cds_start_date <= date AND cds_end_date_or_present > date""",
+    "densified_assignments": """SELECT g.full_name, g.date AS cds_start_date, o.last.discipline_initial AS discipline_initial,
+  o.last.location_most_recent AS location_most_recent, o.date = g.date AS observed
+FROM (SELECT full_name, CAST(unnest(generate_series(min(cds_start_date), max(cds_start_date), INTERVAL 28 DAY)) AS DATE) AS date
+      FROM tours GROUP BY full_name) g
+ASOF JOIN (SELECT full_name, cds_start_date AS date,
+             max({'discipline_initial': discipline_initial, 'location_most_recent': location_most_recent}) AS last
+           FROM tours GROUP BY full_name, cds_start_date) o
+ON g.full_name = o.full_name AND g.date >= o.date""",
+    "tours_at_once_by_discipline": _AT_ONCE,
+    "most_tours_at_once_by_discipline": f"""SELECT discipline_initial, max(tours_at_once) AS most_tours_at_once,
+  arg_min(date, (-tours_at_once, date)) AS first_date FROM ({_AT_ONCE}) GROUP BY discipline_initial""",
+    "duration_quantiles_by_discipline": """SELECT most_recent_discipline_initial, CAST(probability AS DOUBLE) AS probability,
+  round_even(value, 6) AS duration_years
+FROM (SELECT most_recent_discipline_initial, unnest([0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]) AS probability,
+        unnest(quantile_cont(duration_years, [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1])) AS value
+      FROM merged GROUP BY most_recent_discipline_initial)""",
     "first_and_last_attributes": """SELECT DISTINCT full_name, first_value(location_initial) OVER w AS first_location,
   first_value(initial_staffing_program) OVER w AS first_program,
   last_value(discipline_initial) OVER w AS last_discipline, last_value(arrival_source) OVER w AS last_source

@@ -12,7 +12,7 @@ from pyspark.sql.types import DoubleType
 from checks import fixtures
 from tourledger import names as N
 from tourledger.functions import calendar
-from tourledger.operators import cleaning, people, salary, spells
+from tourledger.operators import cleaning, densify, intervals, people, quantiles, salary, spells
 from tourledger.plans import quality, reports
 from tourledger.plans.tables import Tables
 from tourledger.sources.board import import_board_cards
@@ -103,6 +103,23 @@ def _present(t: Tables) -> DataFrame:
     return present.select(N.PERSON, N.TOUR, N.START, N.END)
 
 
+def _present_on_dates(t: Tables) -> DataFrame:
+    """Tours under way at the beginning of each quarter in which one starts."""
+    quarters = t.tours.select(F.trunc(N.START, "quarter").alias("date"))
+    present = intervals.present_on_dates(t.tours, quarters, t.inputs.as_of)
+    return present.select("date", N.PERSON, N.TOUR, N.START, N.END)
+
+
+def _densified_assignments(t: Tables) -> DataFrame:
+    """Every person's discipline and location every four weeks, as of the last tour begun."""
+    return densify.densify(t.tours, [N.PERSON], N.START, [N.DISCIPLINE, N.LOCATION_LAST], 28)
+
+
+def _duration_quantiles_by_discipline(t: Tables) -> DataFrame:
+    discipline = "most_recent_discipline_initial"
+    return quantiles.group_quantiles(t.merged, [discipline], "duration_years", [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1], "duration_years")
+
+
 OPERATORS: dict[str, reports.Report] = {
     "roster_dates": lambda t: cleaning.sentinel_to_null(t.inputs.level_raw, ["earliest_date", "latest_date"]),
     "clean_roster": lambda t: t.roster,
@@ -120,6 +137,11 @@ OPERATORS: dict[str, reports.Report] = {
     "location_by_fiscal_year": _location_by_fiscal_year,
     "merged_tours": lambda t: t.merged,
     "tours_present_on_date": _present,
+    "tours_present_on_dates": _present_on_dates,
+    "densified_assignments": _densified_assignments,
+    "tours_at_once_by_discipline": lambda t: intervals.at_once(t.tours, [N.DISCIPLINE]),
+    "most_tours_at_once_by_discipline": lambda t: intervals.most_at_once(t.tours, [N.DISCIPLINE]),
+    "duration_quantiles_by_discipline": _duration_quantiles_by_discipline,
     "first_and_last_attributes": _first_and_last,
     "person_progression": lambda t: t.progression,
     "classification_change_or_level_increase": reports.classification_change_or_level_increase,
@@ -139,6 +161,7 @@ ROUNDED = {
     "tour_salaries": 6,
     "cleaned_tours": 9,
     "merged_tours": 9,
+    "duration_quantiles_by_discipline": 6,
     "person_progression": 6,
 }
 

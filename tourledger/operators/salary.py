@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tourledger import names as N
 from tourledger.operators.cleaning import GROUP_RECODE, recode
+from tourledger.operators.quantiles import group_quantiles
 
 STUDENT_GRADE = "SU-3"
 
@@ -15,23 +16,16 @@ STUDENT_GRADE = "SU-3"
 def pooled_median(df: DataFrame, keys: list[str], cols: Iterable[str], name: str = "median") -> DataFrame:
     """One row per key: the median of all values of ``cols`` pooled; NULL if any of them is NULL.
 
-    Equal values are counted before they are ordered, so a group costs its distinct amounts
-    and not its rows; the window spills where an aggregate would hold them all in memory.
+    The values of a group are selected by ranges (``group_quantiles``) and meet in no task.
     """
     values = df.select(*keys, F.explode(F.array(*cols)).alias("value"))
-    counted = values.groupBy(*keys, "value").agg(F.count("*").alias("n"))
-    group = Window.partitionBy(*keys)
-    in_order = group.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumns(
-        {"up_to": F.sum("n").over(in_order), "total": F.sum("n").over(group)}
-    )
-
-    def at(position: Column) -> Column:
-        return F.min(F.when(F.col("up_to") > position, F.col("value")))
-
-    lower, upper = at(F.floor((F.col("total") - 1) / 2)), at(F.floor(F.col("total") / 2))
-    has_null = F.max(F.col("value").isNull())
-    return ranked.groupBy(*keys).agg(F.when(~has_null, (lower + upper) / 2).alias(name))
+    complete = values.groupBy(*keys).agg(F.count_if(F.col("value").isNull()).alias("nulls")).alias("g")
+    medians = group_quantiles(values, keys, "value", [0.5], name).alias("m")
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(f"g.{key}").eqNullSafe(F.col(f"m.{key}"))
+    median = F.when(F.col("g.nulls") == 0, F.col(f"m.{name}")).alias(name)
+    return complete.join(medians, same, "left").select(*[f"g.{k}" for k in keys], median)
 
 
 def add_pooled_median(df: DataFrame, keys: list[str], cols: Iterable[str], name: str = "median") -> DataFrame:
