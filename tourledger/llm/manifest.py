@@ -62,29 +62,31 @@ def _before(count: str, *order: str, within: tuple[str, ...]) -> Column:
 
 
 def directory(leaves: DataFrame) -> DataFrame:
-    """The bitmaps of ids: for each group and word with a bit its ``bits``, the number ``n`` of
-    leaves in it and the number ``start`` of leaves before it.
+    """The bitmaps of ids: for each group and word with a bit its ``bits``, the number ``held`` of
+    leaves in it, the number ``start`` of leaves before it and the number ``n`` of the group's.
 
     A window orders at most 2**16 rows: the words, counts of words, counts of those, and
     at the top the 1,025 parts of a group that the highest ten bits tell apart.
     """
     one = F.lit(1).cast("long")
-    words = leaves.groupBy("tree", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"), F.sum(one).alias("n"))
+    words = leaves.groupBy("tree", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"), F.sum(one).alias("held"))
     words = words.withColumns({"w16": F.shiftright("word", 16), "w32": F.shiftright("word", 32), "w48": F.shiftright("word", 48)})
-    by16 = words.groupBy("tree", "w48", "w32", "w16").agg(F.sum("n").alias("m"))
+    by16 = words.groupBy("tree", "w48", "w32", "w16").agg(F.sum("held").alias("m"))
     by32 = by16.groupBy("tree", "w48", "w32").agg(F.sum("m").alias("m"))
     by48 = by32.groupBy("tree", "w48").agg(F.sum("m").alias("m"))
-    by48 = by48.select("tree", "w48", _before("m", "w48", within=("tree",)).alias("start48"))
+    total = F.sum("m").over(Window.partitionBy("tree")).alias("n")
+    by48 = by48.select("tree", "w48", _before("m", "w48", within=("tree",)).alias("start48"), total)
     by32 = by32.select("tree", "w48", "w32", _before("m", "w32", within=("tree", "w48")).alias("start32"))
-    by32 = by32.join(by48, ["tree", "w48"]).select("tree", "w32", (F.col("start32") + F.col("start48")).alias("start32"))
+    by32 = by32.join(by48, ["tree", "w48"]).select("tree", "w32", (F.col("start32") + F.col("start48")).alias("start32"), "n")
     by16 = by16.select("tree", "w32", "w16", _before("m", "w16", within=("tree", "w32")).alias("start16"))
-    by16 = by16.join(by32, ["tree", "w32"]).select("tree", "w16", (F.col("start16") + F.col("start32")).alias("start16"))
-    words = words.select("tree", "w16", "word", "bits", "n", _before("n", "word", within=("tree", "w16")).alias("start"))
-    return words.join(by16, ["tree", "w16"]).select("tree", "word", "bits", "n", (F.col("start") + F.col("start16")).alias("start"))
+    by16 = by16.join(by32, ["tree", "w32"]).select("tree", "w16", (F.col("start16") + F.col("start32")).alias("start16"), "n")
+    words = words.select("tree", "w16", "word", "bits", "held", _before("held", "word", within=("tree", "w16")).alias("start"))
+    return words.join(by16, ["tree", "w16"]).select("tree", "word", "bits", "held", (F.col("start") + F.col("start16")).alias("start"), "n")
 
 
 def placed(leaves: DataFrame, key: str, carried: list[str]) -> DataFrame:
-    """``slot``, a leaf's place in its group from 0, by ascending ``key`` (null first).
+    """``slot``, a leaf's place in its group from 0, by ascending ``key`` (null first), and ``n``, the
+    number of the group's leaves.
 
     Ids that occur once have the rank of their bit. Words with repeated ids hold more leaves
     than bits; their leaves are ordered by id, leaf and carried columns after equal rows are
@@ -96,13 +98,13 @@ def placed(leaves: DataFrame, key: str, carried: list[str]) -> DataFrame:
         "bit": F.coalesce(number.bitwiseAND(F.lit(63).cast("long")), F.lit(0).cast("long")).cast("int"),
     })
     rows = keyed.join(directory(keyed), ["tree", "word"])
-    crowded = F.col("n") > F.bit_count("bits")
+    crowded = F.col("held") > F.bit_count("bits")
     lower = F.bit_count(F.col("bits").bitwiseAND(F.expr("~shiftleft(-1L, bit)"))).cast("long")
     out = ["tree", key, "leaf", *carried]
-    single = rows.where(~crowded).select(*out, (F.col("start") + lower).alias("slot"))
+    single = rows.where(~crowded).select(*out, "n", (F.col("start") + lower).alias("slot"))
 
     piece = F.substring("leaf", 1, 4).alias("piece")
-    equal = rows.where(crowded).groupBy("tree", "word", "start", "bit", piece, *out[1:]).agg(F.count(F.lit(1)).alias("copies"))
+    equal = rows.where(crowded).groupBy("tree", "word", "start", "n", "bit", piece, *out[1:]).agg(F.count(F.lit(1)).alias("copies"))
     pieces = equal.groupBy("tree", "word", "bit", "piece").agg(F.sum("copies").alias("m"))
     bits = pieces.groupBy("tree", "word", "bit").agg(F.sum("m").alias("k"))
     bits = bits.select("tree", "word", "bit", _before("k", "bit", within=("tree", "word")).alias("by_bit"))
@@ -111,10 +113,10 @@ def placed(leaves: DataFrame, key: str, carried: list[str]) -> DataFrame:
     equal = equal.withColumn("by_leaf", _before("copies", "leaf", *carried, within=within))
     equal = equal.join(pieces, list(within)).join(bits, ["tree", "word", "bit"])
     first = F.col("start") + F.col("by_bit") + F.col("by_piece") + F.col("by_leaf")
-    runs = equal.select(*out, first.alias("first"), "copies", F.explode(F.expr(f"sequence(0L, copies - 1, {RUN}L)")).alias("run"))
+    runs = equal.select(*out, "n", first.alias("first"), "copies", F.explode(F.expr(f"sequence(0L, copies - 1, {RUN}L)")).alias("run"))
     runs = runs.repartition("tree", "first", "run")
     last = F.least(F.col("run") + RUN, F.col("copies")) - 1
-    repeated = runs.select(*out, F.explode(F.sequence(F.col("first") + F.col("run"), F.col("first") + last)).alias("slot"))
+    repeated = runs.select(*out, "n", F.explode(F.sequence(F.col("first") + F.col("run"), F.col("first") + last)).alias("slot"))
     return single.unionByName(repeated)
 
 
@@ -235,9 +237,6 @@ def manifest(leaves: DataFrame, tree: str, key: str, leaf: str, carried: Iterabl
     rows = rows.toDF("tree", "id", "leaf", *[f"c{i}" for i in range(len(carried))])
     rows = rows.withColumn("tree", F.coalesce(F.concat(F.lit("="), F.col("tree").cast("string")), F.lit("")))
     own = cut(placed(rows, "id", rows.columns[3:]))
-    # A tree's number of leaves is one more than its last slot.
-    sizes = own.groupBy("tree").agg((F.max("slot") + 1).alias("n"))
-    own = own.join(sizes, "tree").select("tree", "slot", "n", "id", "leaf", *rows.columns[3:])
     rounds = _rounds(own, "leaf")
     single = len(rounds) == 1
     subroots = rounds[-1].select("tree", F.col("leaf" if single else "digest").alias("digest"))
