@@ -238,4 +238,5 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         first_month=FIRST_MONTH,
         home=HOME,
         slice_discipline=SLICE,
+        other_departure_types=("retired",),
     )

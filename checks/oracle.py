@@ -395,6 +395,26 @@ _BY_DISCIPLINE = ("to_other_department", "to_other_government", "to_private_sect
 _BY_SOURCE = ("to_academia", "to_non_profit", "to_other_department", "to_other_government", "to_private_sector", "unknown_departure_type", "retired")
 _REGION_COLUMN = "in_or_out_of_national_capital_region"
 
+# The types that a text can have, narrow ones first, each with a test.
+_TYPE_TESTS = {
+    "boolean": "lower(value) IN ('true', 'false')",
+    "int": "regexp_full_match(value, '[+-]?[0-9]{1,19}') AND TRY_CAST(value AS INT) IS NOT NULL",
+    "bigint": "regexp_full_match(value, '[+-]?[0-9]{1,19}') AND TRY_CAST(value AS BIGINT) IS NOT NULL",
+    "double": "regexp_full_match(value, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,2})?') AND TRY_CAST(value AS DOUBLE) IS NOT NULL",
+    "date": "regexp_full_match(value, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(value AS DATE) IS NOT NULL",
+    "timestamp_ntz": "regexp_full_match(value, '[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?)?') AND TRY_CAST(value AS TIMESTAMP) IS NOT NULL",
+}
+
+
+def _types_of(table: str) -> str:
+    narrowest = " ".join(f"WHEN not_{kind} = 0 THEN '{kind}'" for kind in _TYPE_TESTS)
+    counts = ", ".join(f"count(*) FILTER (value IS NOT NULL AND NOT ({test})) AS not_{kind}" for kind, test in _TYPE_TESTS.items())
+    return f"""SELECT column_name, CASE WHEN n_values = 0 THEN 'string' {narrowest} ELSE 'string' END AS inferred_type, * EXCLUDE (column_name)
+FROM (SELECT '{table}.' || name AS column_name, count(value) AS n_values, count(*) - count(value) AS n_nulls, {counts}
+      FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM {table}) UNPIVOT INCLUDE NULLS (value FOR name IN (*))
+      GROUP BY name)"""
+
+
 # One join of days with tours for each discipline, where the operator adds up steps.
 _AT_ONCE = """SELECT d.discipline_initial, d.date, count(t.full_name) AS tours_at_once
 FROM (SELECT DISTINCT discipline_initial, unnest([cds_start_date, cds_end_date_or_present]) AS date FROM tours
@@ -571,6 +591,9 @@ ON g.full_name = o.full_name AND g.date >= o.date""",
 FROM (SELECT most_recent_discipline_initial, unnest([0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]) AS probability,
         unnest(quantile_cont(duration_years, [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1])) AS value
       FROM merged GROUP BY most_recent_discipline_initial)""",
+    "inferred_types": "\nUNION ALL ".join(_types_of(name) for name in _INPUTS if name != "board_cards"),
+    "orders_in_input_order": """SELECT o_custkey, arg_min(o_orderkey, place) AS first_order, arg_max(o_orderkey, place) AS last_order, count(*) AS orders
+FROM (SELECT *, row_number() OVER () AS place FROM orders) GROUP BY o_custkey""",
     "first_and_last_attributes": """SELECT DISTINCT full_name, first_value(location_initial) OVER w AS first_location,
   first_value(initial_staffing_program) OVER w AS first_program,
   last_value(discipline_initial) OVER w AS last_discipline, last_value(arrival_source) OVER w AS last_source

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType
@@ -16,7 +16,10 @@ from tourledger.operators import cleaning, densify, intervals, people, quantiles
 from tourledger.plans import quality, reports
 from tourledger.plans.tables import Tables
 from tourledger.sources.board import import_board_cards
+from tourledger.sources.inference import type_report
 from tourledger.sources.publish import publishable
+from tourledger.sources.schemas import INPUT_SCHEMAS
+from tourledger.sources.tables import INPUT_ORDER, read_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +123,22 @@ def _duration_quantiles_by_discipline(t: Tables) -> DataFrame:
     return quantiles.group_quantiles(t.merged, [discipline], "duration_years", [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1], "duration_years")
 
 
+def _inferred_types(t: Tables) -> DataFrame:
+    """The types that the input tables' values allow, if all were text."""
+    reports = []
+    for name in INPUT_SCHEMAS:
+        report = type_report(getattr(t.inputs, name))
+        reports.append(report.withColumn("column_name", F.concat(F.lit(f"{name}."), "column_name")))
+    return reduce(DataFrame.unionByName, reports)
+
+
+def _orders_in_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's first and last order as the file has them, which nothing else tells."""
+    orders = read_raw(spark, f"{sf_dir}/orders.parquet", order=True)
+    first, last = F.min_by("o_orderkey", INPUT_ORDER), F.max_by("o_orderkey", INPUT_ORDER)
+    return orders.groupBy("o_custkey").agg(first.alias("first_order"), last.alias("last_order"), F.count("*").alias("orders"))
+
+
 OPERATORS: dict[str, reports.Report] = {
     "roster_dates": lambda t: cleaning.sentinel_to_null(t.inputs.level_raw, ["earliest_date", "latest_date"]),
     "clean_roster": lambda t: t.roster,
@@ -129,6 +148,7 @@ OPERATORS: dict[str, reports.Report] = {
     "data_quality": quality.quality_report,
     "parsed_pay_rates": lambda t: cleaning.parse_pay_rates(t.inputs.pay_rates),
     "median_pay_rates": _pay_rows,
+    "inferred_types": _inferred_types,
     "cleaned_tours": lambda t: t.tours,
     "tour_salaries": _tour_salaries,
     "spell_problems": lambda t: spells.spell_problems(t.tours),
@@ -178,5 +198,6 @@ def queries() -> dict[str, Query]:
     registered = {**reports.REPORTS, **reports.SERIES, **OPERATORS}
     out = {name: _from_tables(name, report) for name, report in registered.items()}
     out["typed_orders"] = lambda spark, sf_dir: fixtures.table(spark, sf_dir, "orders")
+    out["orders_in_input_order"] = _orders_in_input_order
     out["imported_board_cards"] = lambda spark, sf_dir: import_board_cards(fixtures.board_cards(spark, sf_dir))
     return out

@@ -110,3 +110,25 @@ def test_stored_reports_equal_unstored_ones(stored, tables):
         found, expected = report(stored), report(tables)
         assert found.schema.names == expected.schema.names
         assert [tuple(row) for row in found.collect()] == [tuple(row) for row in expected.collect()], report.__name__
+
+
+def test_pivots_run_no_job_while_they_are_planned(spark, sf_dir):
+    fresh = Tables(fixtures.inputs(spark, sf_dir))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("pivots", "planning")
+    try:
+        reports.summary_departure_type_by_discipline_percentages(fresh)
+        reports.summary_departure_type_by_arrival_source_percentages(fresh)
+        assert tracker.getJobIdsForGroup("pivots") == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_departure_types_are_found_where_none_are_given(spark, sf_dir):
+    import dataclasses
+
+    given = fixtures.inputs(spark, sf_dir)
+    found = Tables(dataclasses.replace(given, other_departure_types=None))
+    for report in (reports.summary_departure_type_by_discipline_percentages, reports.summary_departure_type_by_arrival_source_percentages):
+        assert report(found).columns == report(Tables(given)).columns
+        assert report(found).columns[-1] == "retired"

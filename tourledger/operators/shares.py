@@ -90,6 +90,16 @@ def share_within(
     )
 
 
+def pivot_values(df: DataFrame, column: str, known: Sequence[str] = ()) -> list[str]:
+    """Columns for a pivot: ``known`` in that order, then other destinations (``to_...``), then the rest.
+
+    Runs a job that hands the driver the distinct values, so ``df`` should be a small aggregate.
+    """
+    found = [row[0] for row in df.select(column).distinct().collect()]
+    others = {"null" if value is None else value for value in found} - set(known)
+    return [*known, *sorted(others, key=lambda c: (not c.startswith("to_"), c))]
+
+
 def share_pivot(
     df: DataFrame,
     outer: str,
@@ -98,24 +108,23 @@ def share_pivot(
     percentage: str,
     known: Sequence[str] = (),
     drop: str | None = None,
+    values: Sequence[str] | None = None,
 ) -> DataFrame:
     """Pivot of a ``share_within`` table into ``67% (22)`` cells, ``0%`` where a pair is missing.
 
-    The share is rounded to four digits first and to whole percent after that. Every value
-    found gets a column: first those in ``known``, in that order and also where absent, then
-    other destinations (``to_...``), then the rest. More values than
-    ``spark.sql.pivotMaxValues`` are an error. ``drop`` leaves out one outer value, and the
-    NULL group with it.
+    The share is rounded to four digits first and to whole percent after that. ``values`` are the
+    columns (``null`` is that of NULL): with them the plan is made without a job, for any number of
+    columns. Without, ``pivot_values`` finds them, after those in ``known``. ``drop`` leaves out one
+    outer value, and the NULL group with it.
     """
+    if values is None:
+        values = pivot_values(df, inner, known)
     text = percent_text(F.bround(percentage, 4), F.col(count))
-    cells = df.select(outer, inner, text.alias("cell"))
-    pivot = cells.groupBy(outer).pivot(inner).agg(F.first("cell"))
-    found = pivot.columns[1:]
-    others = sorted((c for c in found if c not in known), key=lambda c: (not c.startswith("to_"), c))
-    none = F.lit("0%")
-    cell = {c: F.coalesce(F.col(f"`{c}`"), none) for c in found}
-    wide = pivot.select(outer, *[cell.get(c, none).alias(c) for c in (*known, *others)])
-    return (wide if drop is None else wide.where(F.col(outer) != drop)).orderBy(*ascending(outer))
+    cells = df.select(outer, F.coalesce(inner, F.lit("null")).alias("value"), text.alias("cell"))
+    if drop is not None:
+        cells = cells.where(F.col(outer) != drop)
+    wide = cells.groupBy(outer).pivot("value", list(values)).agg(F.max("cell"))
+    return wide.select(outer, *[F.coalesce(f"`{v}`", F.lit("0%")).alias(v) for v in values]).orderBy(*ascending(outer))
 
 
 def duration_bin(years: Column) -> Column:

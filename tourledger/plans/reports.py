@@ -117,7 +117,7 @@ def summary_departure_type_by_discipline_percentages(t: Tables) -> DataFrame:
         N.DEPARTURE,
         "departure_count",
         "departure_type_percentage",
-        N.DEPARTURE_TYPES,
+        values=t.departure_types(N.DEPARTURE_TYPES),
     )
 
 
@@ -128,8 +128,8 @@ def summary_departure_type_by_arrival_source_percentages(t: Tables) -> DataFrame
         N.DEPARTURE,
         "departure_count",
         "departure_type_percentage",
-        N.DEPARTURE_TYPES_BY_SOURCE,
         drop="from_other_staffing_program",
+        values=t.departure_types(N.DEPARTURE_TYPES_BY_SOURCE),
     )
 
 

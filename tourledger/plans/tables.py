@@ -14,7 +14,7 @@ from tourledger.operators.cleaning import clean_roster, clean_tours, parse_pay_r
 from tourledger.operators.people import departure_counts, departures_excluding, person_facts, person_years
 from tourledger.operators.progress import latest_attributes, person_progression
 from tourledger.operators.salary import pooled_median
-from tourledger.operators.shares import category_share, count_distinct_rows
+from tourledger.operators.shares import category_share, count_distinct_rows, pivot_values
 from tourledger.operators.spells import (
     add_duration,
     add_effective_end,
@@ -52,6 +52,8 @@ class Inputs:
     home: str = N.HOME_REGION
     slice_discipline: str = "Policy"
     outside_government: Sequence[str] = N.OUTSIDE_GOVERNMENT_SOURCES
+    # Departure types besides the known ones, for the pivots' columns; None: those that the tours hold.
+    other_departure_types: Sequence[str] | None = None
 
 
 class Tables:
@@ -81,6 +83,17 @@ class Tables:
     def departure_counts(self) -> DataFrame:
         return departure_counts(self.departures)
 
+    @cached_property
+    def _departure_types_found(self) -> list[str]:
+        given = self.inputs.other_departure_types
+        return pivot_values(self.departure_counts, N.DEPARTURE) if given is None else list(given)
+
+    def departure_types(self, known: Sequence[str]) -> list[str]:
+        """Columns of the departure pivots: the known ones, then others. Where the inputs do not name
+        them, a job over the counts of departures finds them, once for all reports."""
+        found = [value for value in self._departure_types_found if value not in known]
+        return [*known, *sorted(found, key=lambda c: (not c.startswith("to_"), c))]
+
     @cached_property
     def persons(self) -> DataFrame:
         return person_facts(self.tours)
