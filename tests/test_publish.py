@@ -76,7 +76,12 @@ def read_csv(folder):
 def published(spark, tables, tmp_path_factory):
     out = tmp_path_factory.mktemp("out")
     publish_all(tables.inputs, str(out), str(tmp_path_factory.mktemp("shared") / "run"))
-    return {path.name: read_csv(path) for path in out.iterdir()}
+    return reports_in(out)
+
+
+def reports_in(folder):
+    """Reports are folders; the manifest beside them is a file."""
+    return {path.name: read_csv(path) for path in folder.iterdir() if path.is_dir()}
 
 
 def test_every_report_is_published_with_its_columns(published):
@@ -172,11 +177,11 @@ def test_a_run_from_files_gives_the_same_reports(spark, tables, published, tmp_p
     arguments += ["--out", str(out), "--series-out", str(series), "--home", given.home]
     arguments += ["--as-of", given.as_of.isoformat(), "--first-month", given.first_month.isoformat()]
     main([*arguments, "--slice-discipline", given.slice_discipline])
-    found = {path.name: read_csv(path) for path in out.iterdir()}
+    found = reports_in(out)
     checks = found.pop("quality")  # which also counts, per column, texts that did not parse
     assert [row for row in checks if not row[0].startswith("texts not parsed")] == published["quality"]
     assert found == {name: rows for name, rows in published.items() if name != "quality"}
-    assert {path.name for path in series.iterdir()} == set(reports.SERIES)
+    assert set(reports_in(series)) == set(reports.SERIES)
     assert column(read_csv(series / "headcount_by_month"), "headcount")[0] > 0
 
 

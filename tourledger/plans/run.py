@@ -14,7 +14,7 @@ from tourledger import names as N
 from tourledger.plans.quality import quality_report
 from tourledger.plans.reports import REPORTS, SERIES
 from tourledger.plans.tables import Inputs, Tables
-from tourledger.sources.publish import publish
+from tourledger.sources.releases import Release
 from tourledger.sources.schemas import INPUT_SCHEMAS, KEEP_DATE_TEXT
 from tourledger.sources.tables import load_table, unparsed_texts
 
@@ -72,24 +72,33 @@ def publish_all(
     series_out: str | None = None,
     strict: bool = False,
     unparsed: DataFrame | None = None,
+    about: Mapping[str, str] | None = None,
 ) -> Tables:
-    """Write the shared tables once, then every report from them to ``out/<report>``.
+    """Write the shared tables once, then every report from them, and publish all as ``out/<report>``.
 
-    ``series_out`` also publishes the series feeds. ``out/quality`` tells what the inputs lack,
-    with the counts in ``unparsed``; with ``strict`` any problem is an error once it is written.
+    The reports replace those in ``out`` together, once the last one is finished (``Release``). With
+    ``about``, which says what the run is made from, a run that broke off goes on where it stopped;
+    without, it starts anew. ``series_out`` also publishes the series feeds, as a set of their own.
+    ``out/quality`` tells what the inputs lack, with the counts in ``unparsed``; with ``strict`` any
+    problem is an error, and nothing else is published then but the quality report beside ``out``.
     """
     spark = inputs.tenure_raw.sparkSession
     tables = Tables(inputs).write_to(folder or shared_folder(spark))
-    publish(quality_report(tables, unparsed), f"{out.rstrip('/')}/quality", single_file=True)
+    about = {"run": uuid.uuid4().hex} if about is None else about
+    release = Release(spark, out, about)
+    release.add("quality", lambda: quality_report(tables, unparsed))
     if strict:
-        wrong = spark.read.option("header", True).csv(f"{out.rstrip('/')}/quality").where("cast(problems AS bigint) > 0")
+        wrong = spark.read.option("header", True).csv(f"{release.staging}/quality").where("cast(problems AS bigint) > 0")
         if problems := [f"{row.check_name}: {row.problems}" for row in wrong.collect()]:
             raise ValueError("; ".join(problems))
-    for name, report in REPORTS.items():
-        publish(report(tables), f"{out.rstrip('/')}/{name}", single_file=True)
+    sets = [(release, REPORTS, ["quality", *REPORTS])]
     if series_out is not None:
-        for name, report in SERIES.items():
-            publish(report(tables), f"{series_out.rstrip('/')}/{name}", single_file=True)
+        sets.append((Release(spark, series_out, about), SERIES, list(SERIES)))
+    for own, reports, _ in sets:
+        for name, report in reports.items():
+            own.add(name, lambda report=report: report(tables))
+    for own, _, names in sets:
+        own.switch(names)
     return tables
 
 
@@ -104,6 +113,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--home", default=N.HOME_REGION, help="location that counts as the home region")
     parser.add_argument("--slice-discipline", default="Policy")
     parser.add_argument("--strict", action="store_true", help="fail if the quality report has problems")
+    parser.add_argument("--resume", action="store_true", help="go on with a broken run of the same arguments over the same files")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("tourledger").getOrCreate()
@@ -111,6 +121,7 @@ def main(argv: list[str] | None = None) -> None:
     inputs = load_inputs(spark, paths, args.as_of, args.first_month, args.home, args.slice_discipline)
     folder = shared_folder(spark)
     try:
-        publish_all(inputs, args.out, folder, args.series_out, args.strict, count_unparsed(spark, paths))
+        about = {name: str(value) for name, value in vars(args).items()} if args.resume else None
+        publish_all(inputs, args.out, folder, args.series_out, args.strict, count_unparsed(spark, paths), about)
     finally:
         remove_folder(spark, folder)
