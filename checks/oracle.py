@@ -594,6 +594,12 @@ FROM (SELECT most_recent_discipline_initial, unnest([0, 0.1, 0.25, 0.5, 0.75, 0.
     "inferred_types": "\nUNION ALL ".join(_types_of(name) for name in _INPUTS if name != "board_cards"),
     "orders_in_input_order": """SELECT o_custkey, arg_min(o_orderkey, place) AS first_order, arg_max(o_orderkey, place) AS last_order, count(*) AS orders
 FROM (SELECT *, row_number() OVER () AS place FROM orders) GROUP BY o_custkey""",
+    "presence_in_sql": """SELECT discipline_initial AS discipline, fy || '-' || (fy + 1) || '-Q' || quarter(cds_start_date - INTERVAL 3 MONTH) AS arrival_period,
+  CAST(fy AS INT) AS arrival_year, count(*) AS tours,
+  CAST(round_even(count(*) FILTER (days <= 365) / count(*) * 100, 0) AS BIGINT) || '% (' || count(*) || ')' AS under_1_year,
+  format('{:.2f}', round_even(sum(days) / count(*), 2)) AS average_days
+FROM (SELECT *, year(cds_start_date - INTERVAL 3 MONTH) AS fy, DATE '1999-07-01' - CAST(cds_start_date AS DATE) + 1 AS days FROM tours)
+WHERE cds_start_date <= DATE '1999-07-01' AND cds_end_date_or_present > DATE '1999-07-01' GROUP BY ALL""",
     "first_and_last_attributes": """SELECT DISTINCT full_name, first_value(location_initial) OVER w AS first_location,
   first_value(initial_staffing_program) OVER w AS first_program,
   last_value(discipline_initial) OVER w AS last_discipline, last_value(arrival_source) OVER w AS last_source

@@ -11,7 +11,7 @@ from pyspark.sql.types import DoubleType
 
 from checks import fixtures
 from tourledger import names as N
-from tourledger.functions import calendar
+from tourledger.functions import calendar, sql
 from tourledger.operators import cleaning, densify, intervals, people, quantiles, salary, spells
 from tourledger.plans import quality, reports
 from tourledger.plans.tables import Tables
@@ -132,6 +132,19 @@ def _inferred_types(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def _presence_in_sql(t: Tables) -> DataFrame:
+    """Tours under way on a date by discipline and period of arrival, in SQL alone."""
+    spark = t.inputs.tenure_raw.sparkSession
+    t.tours.createOrReplaceTempView("tourledger_tours")
+    sql.register(spark, "tourledger_tours")
+    return spark.sql(f"""
+SELECT title_case({N.DISCIPLINE}) AS discipline, reporting_period({N.START}) AS arrival_period,
+  fiscal_label_to_year(max(fiscal_year_label({N.START}))) AS arrival_year, count(*) AS tours,
+  percent_text(share(count_if(duration_bin(duration_years({N.START}, DATE'{PRESENT_ON}')) = '{N.DURATION_BINS[0]}'), count(*)), count(*)) AS under_1_year,
+  two_decimals(share(sum(duration_days({N.START}, DATE'{PRESENT_ON}')), count(*))) AS average_days
+FROM tours_present_on(DATE'{PRESENT_ON}', DATE'{t.inputs.as_of}') GROUP BY ALL""")
+
+
 def _orders_in_input_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each customer's first and last order as the file has them, which nothing else tells."""
     orders = read_raw(spark, f"{sf_dir}/orders.parquet", order=True)
@@ -149,6 +162,7 @@ OPERATORS: dict[str, reports.Report] = {
     "parsed_pay_rates": lambda t: cleaning.parse_pay_rates(t.inputs.pay_rates),
     "median_pay_rates": _pay_rows,
     "inferred_types": _inferred_types,
+    "presence_in_sql": _presence_in_sql,
     "cleaned_tours": lambda t: t.tours,
     "tour_salaries": _tour_salaries,
     "spell_problems": lambda t: spells.spell_problems(t.tours),
