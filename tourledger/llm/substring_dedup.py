@@ -5,7 +5,10 @@ strings. Equal strings hold equal anchors at equal places, so what surrounds anc
 several documents share, 84 bytes that take in every 50-byte string around it, is all that
 has to be compared. Surroundings of one anchor meet in one group and are put in order by
 suffix sorting; runs of suffixes that agree and the bytes at both ends then tell which
-strings are equal, and the least document id of each goes back to where it came from.
+strings are equal, and the least document id of each goes back to where it came from. An anchor
+with very many different surroundings (a footer with another name beside it in each document) does
+not meet: each of its 50-byte strings goes where its hash of 128 bits sends it, with the least
+id that a pack has for it.
 
 Documents are kept in packs, files in the shared folder that tasks read again by their URI,
 so that no text is shuffled. What a pack has many times it sends once.
@@ -37,6 +40,8 @@ BLOCKS = AROUND // BLOCK
 PACK_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20  # text for which there is one more bucket of anchors
 SORT_ROWS = 20_000  # surroundings that are sorted together, about
+HOT_ENTRIES = 1 << 17  # an anchor with more entries does not meet in one group
+COMPARED = 1 << 16  # surroundings that are made before equal ones among them become one
 _PIECE = 1 << 20
 NO_ID = np.iinfo(np.int64).max  # a null id: greater than all others
 
@@ -133,34 +138,119 @@ class Pack:
         entry[order] = np.cumsum(fresh) - 1
         return np.searchsorted(b[begins], np.arange(buckets + 1)), s[begins], p[begins], twice, entry
 
-    def surroundings(self, buckets: int, shared: dict[int, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct surroundings of shared anchors by bucket: where each bucket's begin,
-        the anchor's hash, the bytes with the two extents, the least id; and for each anchor
-        that is shared, which it is and which surroundings it has."""
+    def surroundings(self, buckets: int, shared: dict[int, tuple[np.ndarray, np.ndarray]]) -> Surroundings:
+        """The distinct surroundings of shared anchors.
+
+        Some at a time are made and equal ones among them become one at once, so that a text
+        of one character, all of whose places are anchors, takes little memory.
+        """
         edges, _, _, _, entry = self.entries(buckets)
-        flag = np.zeros(edges[-1], bool)
-        for k, own in shared.items():
-            flag[edges[k] : edges[k + 1]] = np.unpackbits(own, count=edges[k + 1] - edges[k]).astype(bool)
+        flag, hot = np.zeros(edges[-1], bool), np.zeros(edges[-1], bool)
+        for k, (own, own_hot) in shared.items():
+            many = edges[k + 1] - edges[k]
+            flag[edges[k] : edges[k + 1]] = np.unpackbits(own, count=many).astype(bool)
+            hot[edges[k] : edges[k + 1]] = np.unpackbits(own_hot, count=many).astype(bool)
         mine = np.flatnonzero(flag[entry]) if len(entry) else np.zeros(0, np.int64)
-        at, left, right = self.at[mine], self.left[mine], self.right[mine]
-        around = np.zeros((len(mine), AROUND + 4), np.uint8)
-        if len(mine):
-            padded = np.concatenate([np.zeros(BEFORE, np.uint8), self.data, np.zeros(MATCH, np.uint8)])
+        padded = np.concatenate([np.zeros(BEFORE, np.uint8), self.data, np.zeros(MATCH, np.uint8)])
+        place, found = np.arange(AROUND), Surroundings.none()
+        parts, whiches, n = [], [], 0
+        for low in range(0, len(mine), COMPARED):
+            some = mine[low : low + COMPARED]
+            at, left, right = self.at[some], self.left[some], self.right[some]
+            around = np.zeros((len(some), AROUND + 4), np.uint8)
             around[:, :AROUND] = np.lib.stride_tricks.sliding_window_view(padded, AROUND)[at]
-            place = np.arange(AROUND)
             around[:, :AROUND][(place < BEFORE - left[:, None]) | (place >= BEFORE + right[:, None])] = 0
             around[:, AROUND], around[:, AROUND + 1] = left, right
-        anchor = _hash16(self.eight, at, at + 8)
-        bucket, whole = bucket_of(anchor, buckets), _row_hash(around)
-        order = np.lexsort((self.ids[self.row[mine]], whole, anchor, bucket))
-        b, a, w = bucket[order], anchor[order], around[order]
+            anchor = _hash16(self.eight, at, at + 8)
+            part, which = Surroundings(bucket_of(anchor, buckets), anchor, around, self.ids[self.row[some]], hot[entry[some]]).distinct()
+            parts.append(part)
+            whiches.append(which + n)
+            n += len(part.ids)
+        if parts:
+            found, which = Surroundings.joined(parts).distinct()
+            found.which = which[np.concatenate(whiches)]
+        found.mine = mine
+        return found
+
+
+class Surroundings:
+    """Rows by bucket: the anchor's hash, the bytes with the two extents, the least id, and whether
+    the anchor is hot. Of a pack also ``mine``, its shared anchors, and ``which``, the row of each."""
+
+    def __init__(self, bucket: np.ndarray, anchor: np.ndarray, around: np.ndarray, ids: np.ndarray, hot: np.ndarray):
+        self.bucket, self.anchor, self.around, self.ids, self.hot = bucket, anchor, around, ids, hot
+        self.mine = self.which = np.zeros(0, np.int64)
+
+    @classmethod
+    def none(cls) -> Surroundings:
+        return cls(np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, AROUND + 4), np.uint8), np.zeros(0, np.int64), np.zeros(0, bool))
+
+    @classmethod
+    def joined(cls, parts: list[Surroundings]) -> Surroundings:
+        return cls(*(np.concatenate([getattr(p, name) for p in parts]) for name in ("bucket", "anchor", "around", "ids", "hot")))
+
+    def distinct(self) -> tuple[Surroundings, np.ndarray]:
+        """Equal rows as one, with the least id, in order of buckets; and which each row is."""
+        order = np.lexsort((self.ids, _row_hash(self.around), self.anchor, self.bucket))
+        b, a, w = self.bucket[order], self.anchor[order], self.around[order]
         fresh = np.ones(len(order), bool)
         fresh[1:] = (b[1:] != b[:-1]) | (a[1:] != a[:-1]) | (w[1:] != w[:-1]).any(axis=1)
         begins = np.flatnonzero(fresh)
         which = np.empty(len(order), np.int64)
         which[order] = np.cumsum(fresh) - 1
-        least = self.ids[self.row[mine]][order][begins]
-        return np.searchsorted(b[begins], np.arange(buckets + 1)), a[begins], w[begins], least, mine, which
+        return Surroundings(b[begins], a[begins], w[begins], self.ids[order][begins], self.hot[order][begins]), which
+
+    def asked(self, buckets: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+        """Requests by bucket: hashes of anchors, bytes and ids; those of hot ones, in buckets of their
+        own, have both halves of the strings' hashes and ids."""
+        plain = np.flatnonzero(~self.hot)
+        edges = np.searchsorted(self.bucket[plain], np.arange(buckets + 1))
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            own = plain[edges[k] : edges[k + 1]]
+            yield k, self.anchor[own].tobytes(), self.around[own].tobytes(), self.ids[own].tobytes()
+        strings, _ = self.hot_strings(buckets)
+        edges = np.searchsorted(strings[0], np.arange(buckets + 1))
+        for k in np.flatnonzero(np.diff(edges)).tolist():
+            own = slice(edges[k], edges[k + 1])
+            yield buckets + k, strings[1][own].tobytes(), strings[2][own].tobytes(), strings[3][own].tobytes()
+
+    def hot_strings(self, buckets: int) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+        """The distinct strings in hot surroundings, by bucket: the bucket, two hashes and the least id;
+        and for each hot row and start which string it is, -1 where none fits."""
+        rows = np.flatnonzero(self.hot)
+        around, ids = self.around[rows], self.ids[rows]
+        fits = _fits(around[:, AROUND, None], around[:, AROUND + 1, None])
+        which = np.full((len(rows), STARTS), -1, np.int64)
+        found, n = [], 0
+        for start in range(STARTS):
+            valid = np.flatnonzero(fits[:, start])
+            if not len(valid):
+                continue
+            string = np.zeros((len(valid), -(-MATCH // 8) * 8), np.uint8)
+            string[:, :MATCH] = around[valid, start : start + MATCH]
+            words = string.view(np.uint64)
+            one, two = np.zeros(len(valid), np.uint64), np.full(len(valid), start, np.uint64)
+            for column in words.T:
+                one = mix(one * _P[2] + column)
+                two = mix((two + column) * _P[1] + _P[0])
+            order = np.lexsort((ids[valid], two, one))
+            h, t = one[order], two[order]
+            begins = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (t[1:] != t[:-1])]))
+            own = np.zeros(len(valid), np.int64)
+            own[begins] = 1
+            which[valid[order], start] = n + np.cumsum(own) - 1
+            found.append((h[begins], t[begins], ids[valid][order][begins]))
+            n += len(begins)
+        if not found:
+            none = np.zeros(0, np.uint64)
+            return (np.zeros(0, np.int64), none, none, np.zeros(0, np.int64)), which
+        one, two, least = (np.concatenate(columns) for columns in zip(*found))
+        bucket = bucket_of(one, buckets)
+        order = np.argsort(bucket, kind="stable")
+        place = np.empty(n + 1, np.int64)
+        place[order] = np.arange(n)
+        place[n] = -1  # of those that do not fit
+        return (bucket[order], one[order], two[order], least[order]), place[which]
 
 
 def bucket_of(anchor: np.ndarray, buckets: int) -> np.ndarray:
@@ -249,7 +339,7 @@ def _binary_rows(columns: dict[str, list], kinds: dict[str, pa.DataType]) -> pa.
 
 
 _ENTRIES = {"pack": pa.int64(), "bucket": pa.int32(), "anchors": pa.binary(), "parts": pa.binary(), "twice": pa.binary()}
-_SHARED = {"pack": pa.int64(), "bucket": pa.int32(), "shared": pa.binary()}
+_SHARED = {"pack": pa.int64(), "bucket": pa.int32(), "hot": pa.binary(), "shared": pa.binary()}
 _AROUND = {"pack": pa.int64(), "bucket": pa.int32(), "anchors": pa.binary(), "around": pa.binary(), "ids": pa.binary()}
 _REPLY = {"pack": pa.int64(), "bucket": pa.int32(), "runs": pa.binary(), "lengths": pa.binary(), "values": pa.binary()}
 
@@ -296,12 +386,14 @@ def _each_pack(batches: Iterable[pa.RecordBatch]) -> Iterator[list]:
             yield [column[k].as_py() for column in batch.columns]
 
 
-def _bitmaps(replies: list[dict] | None) -> dict[int, np.ndarray]:
-    return {r["bucket"]: np.frombuffer(r["shared"], np.uint8) for r in replies or []}
+def _bitmaps(replies: list[dict] | None) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """By bucket, bits for its entries: whether several rows have it, whether its anchor is hot."""
+    return {r["bucket"]: (np.frombuffer(r["shared"], np.uint8), np.frombuffer(r["hot"], np.uint8)) for r in replies or []}
 
 
-def _shared_anchors(packs: DataFrame, buckets: int, text: int, doc: int) -> DataFrame:
-    """For each pack and bucket a bit for each entry: whether several rows have it."""
+def _shared_anchors(packs: DataFrame, buckets: int, text: int, doc: int, hot_entries: int) -> DataFrame:
+    """For each pack and bucket a bit for each entry: whether several rows have it, and whether
+    its anchor has more than ``hot_entries`` entries."""
 
     @frugal
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,16 +420,41 @@ def _shared_anchors(packs: DataFrame, buckets: int, text: int, doc: int) -> Data
             shared[order] |= several
             shared |= twice & (part != 0x8000)
         edges = np.cumsum([0, *sizes])
-        bits = [np.packbits(shared[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:])]
-        return pa.table({"pack": group.column("pack"), "bucket": group.column("bucket"), "shared": pa.chunked_array([pa.array(bits, pa.binary())])})
+        order = np.argsort(anchor, kind="stable")
+        begins = np.flatnonzero(np.concatenate([[True], anchor[order][1:] != anchor[order][:-1]])[: len(order)])
+        many = np.diff(np.append(begins, len(order)))
+        hot = np.zeros(len(anchor), bool)
+        hot[order] = np.repeat(many > hot_entries, many)
+        bits = [[np.packbits(flags[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:])] for flags in (hot, shared)]
+        hot_bits, shared_bits = (pa.chunked_array([pa.array(own, pa.binary())]) for own in bits)
+        return pa.table({"pack": group.column("pack"), "bucket": group.column("bucket"), "hot": hot_bits, "shared": shared_bits})
 
     return packs.select("pack", "uri").mapInArrow(ask, _ddl(_ENTRIES)).groupBy("bucket").applyInArrow(compare, _ddl(_SHARED))
 
 
-def _least_in_groups(asked: DataFrame) -> DataFrame:
-    """For each pack's surroundings the least id with an equal string at each start."""
+def _least_in_groups(asked: DataFrame, buckets: int) -> DataFrame:
+    """For each pack's surroundings the least id with an equal string at each start; for strings
+    of hot anchors the least id of each."""
+
+    def compare_strings(group: pa.Table) -> pa.Table:
+        one, two, ids = (
+            np.concatenate([np.frombuffer(x, kind) for x in group.column(name).to_pylist()])
+            for name, kind in (("anchors", np.uint64), ("around", np.uint64), ("ids", np.int64))
+        )
+        sizes = [len(x) // 8 for x in group.column("ids").to_pylist()]
+        order = np.lexsort((two, one))
+        h, t = one[order], two[order]
+        begins = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (t[1:] != t[:-1])]))
+        least = np.empty(len(ids), np.int64)
+        least[order] = np.repeat(np.minimum.reduceat(ids[order], begins), np.diff(np.append(begins, len(order))))
+        edges = np.cumsum([0, *sizes])
+        none = pa.chunked_array([pa.array([b""] * len(sizes), pa.binary())])
+        values = pa.chunked_array([pa.array([least[x:y].tobytes() for x, y in zip(edges[:-1], edges[1:])], pa.binary())])
+        return pa.table({"pack": group.column("pack"), "bucket": group.column("bucket"), "runs": none, "lengths": none, "values": values})
 
     def compare(group: pa.Table) -> pa.Table:
+        if group.column("bucket")[0].as_py() >= buckets:
+            return compare_strings(group)
         hashes = [np.frombuffer(a, np.uint64) for a in group.column("anchors").to_pylist()]
         sizes = [len(a) for a in hashes]
         anchor = np.concatenate(hashes)
@@ -375,11 +492,22 @@ def _least_in_groups(asked: DataFrame) -> DataFrame:
 
 def _removed(pack: Pack, buckets: int, shared: dict[int, np.ndarray], replies: list[dict]) -> np.ndarray:
     """A flag for each byte of the pack: covered by a string that a smaller id has too."""
-    edges, _, _, _, mine, which = pack.surroundings(buckets, shared)
-    least = np.full((int(edges[-1]), STARTS), NO_ID, np.int64)
+    found = pack.surroundings(buckets, shared)
+    mine, which = found.mine, found.which
+    least = np.full((len(found.ids), STARTS), NO_ID, np.int64)
+    plain, hot = np.flatnonzero(~found.hot), np.flatnonzero(found.hot)
+    edges = np.searchsorted(found.bucket[plain], np.arange(buckets + 1))
+    strings, string = found.hot_strings(buckets)
+    hot_edges = np.searchsorted(strings[0], np.arange(buckets + 1))
+    of_string = np.full(len(strings[3]) + 1, NO_ID, np.int64)  # the last one is of those that do not fit
     for r in replies:
-        runs, lengths, values = np.frombuffer(r["runs"], np.uint8), np.frombuffer(r["lengths"], np.uint8), np.frombuffer(r["values"], np.int64)
-        least[edges[r["bucket"]] : edges[r["bucket"]] + len(runs)] = np.repeat(values, lengths).reshape(len(runs), STARTS)
+        k, values = r["bucket"], np.frombuffer(r["values"], np.int64)
+        if k >= buckets:
+            of_string[hot_edges[k - buckets] : hot_edges[k - buckets + 1]] = values
+            continue
+        runs, lengths = np.frombuffer(r["runs"], np.uint8), np.frombuffer(r["lengths"], np.uint8)
+        least[plain[edges[k] : edges[k] + len(runs)]] = np.repeat(values, lengths).reshape(len(runs), STARTS)
+    least[hot] = of_string[string]
     starts = np.zeros(len(pack.data) + MATCH, bool)
     ids = pack.ids[pack.row[mine]]
     for low in range(0, len(mine), 1 << 16):
@@ -394,7 +522,7 @@ def _removed(pack: Pack, buckets: int, shared: dict[int, np.ndarray], replies: l
 _OUT = (StructField("n_bytes", LongType()), StructField("spans", ArrayType(LongType())), StructField("kept_sha256", StringType()))
 
 
-def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: list[str] | None = None, hot_entries: int = HOT_ENTRIES) -> DataFrame:
     """The documents with their repeated bytes marked: the columns in ``carry`` (all if None),
     and n_bytes, spans (begin and end of each maximal removed run, one after the other),
     kept_sha256 and, where ``carry`` has text, the text that is left.
@@ -404,7 +532,9 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame
     is empty. A null id is greater than all others; rows of one id do not remove from each
     other. Text that is left may begin or end within a character, whose bytes are then left
     out of the text column (not of the digest); a text that was null stays null. Every row
-    gives a row. Columns added must not clash with those in ``carry``.
+    gives a row. Columns added must not clash with those in ``carry``. What an anchor with more
+    than ``hot_entries`` entries (a pack and what is beside the anchor) is compared by has no
+    effect on the result.
     """
     carry = docs.columns if carry is None else carry
     own = docs.select(*dict.fromkeys(["doc_id", "text", *carry]))
@@ -413,18 +543,17 @@ def remove_repeats(docs: DataFrame, carry: list[str] | None = None) -> DataFrame
     packs = write_packs(own, text)
     buckets = int((packs.agg(F.sum("bytes")).first()[0] or 0) // BUCKET_BYTES) + 1
     grouped = lambda df, *columns: df.groupBy("pack").agg(F.collect_list(F.struct(*columns)).alias(columns[-1] + "_list"))
-    shared = cut(grouped(_shared_anchors(packs, buckets, text, doc), "bucket", "shared"))
+    shared = cut(grouped(_shared_anchors(packs, buckets, text, doc, hot_entries), "bucket", "hot", "shared"))
 
     @frugal
     def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack, uri, bitmaps in _each_pack(batches):
-            edges, anchor, around, ids, _, _ = _read_pack(uri, text, doc).surroundings(buckets, _bitmaps(bitmaps))
-            mine = np.flatnonzero(np.diff(edges)).tolist()
-            cuts = [slice(edges[k], edges[k + 1]) for k in mine]
-            yield _binary_rows({"pack": [pack] * len(mine), "bucket": mine, "anchors": [anchor[c].tobytes() for c in cuts], "around": [around[c].tobytes() for c in cuts], "ids": [ids[c].tobytes() for c in cuts]}, _AROUND)
+            rows = list(_read_pack(uri, text, doc).surroundings(buckets, _bitmaps(bitmaps)).asked(buckets))
+            bucket, anchor, around, ids = ([r[k] for r in rows] for k in range(4))
+            yield _binary_rows({"pack": [pack] * len(rows), "bucket": bucket, "anchors": anchor, "around": around, "ids": ids}, _AROUND)
 
     known = packs.select("pack", "uri").join(shared, "pack", "left")
-    replies = grouped(_least_in_groups(known.mapInArrow(ask, _ddl(_AROUND))), "bucket", "runs", "lengths", "values")
+    replies = grouped(_least_in_groups(known.mapInArrow(ask, _ddl(_AROUND)), buckets), "bucket", "runs", "lengths", "values")
     kept = [own.columns.index(name) for name in carry]
     schema = StructType([*own.select(*carry).schema.fields, *_OUT])
 

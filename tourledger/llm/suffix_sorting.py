@@ -7,7 +7,10 @@ def suffix_order(text: list[int]) -> list[int]:
     """The suffixes of ``text`` in ascending order.
 
     Symbol 0 separates strings: the text must begin and end with one, suffixes are compared up
-    to the next one, and equal ones come in any order.
+    to the next one, and equal ones come in any order. Symbols are ranks: time and memory are linear
+    in the text and in the greatest of them, as nothing is sorted by comparison. Suffixes begin
+    in text order inside a group and stay so, since the nearest smaller place before a later
+    suffix is not before that of an earlier one.
 
     First, suffixes are gathered in groups by their longest Lyndon prefix. They begin in
     groups by first symbol. From the greatest group down, each suffix finds the nearest place
@@ -18,8 +21,12 @@ def suffix_order(text: list[int]) -> list[int]:
     ranks of their groups, found by going back from it along the same pointers.
     """
     n = len(text)
-    symbols = sorted(set(text))
-    place = {symbol: k for k, symbol in enumerate(symbols)}
+    place = [-1] * (max(text) + 1)
+    for symbol in text:
+        place[symbol] = 0
+    symbols = [symbol for symbol, there in enumerate(place) if not there]
+    for k, symbol in enumerate(symbols):
+        place[symbol] = k
     group = [place[symbol] for symbol in text]
     members: list[list[int]] = [[] for _ in symbols]
     for i, g in enumerate(group):
@@ -62,7 +69,6 @@ def suffix_order(text: list[int]) -> list[int]:
             continue
         if size[current] != len(own):
             own = members[current] = [i for i in own if group[i] == current]
-        own.sort()
         for i in own:
             done[i] = 1
         pointed: dict[int, int] = {}
@@ -73,18 +79,15 @@ def suffix_order(text: list[int]) -> list[int]:
             smaller[i] = j
             if text[j]:
                 pointed[j] = pointed.get(j, 0) + 1
-        moved: dict[tuple[int, int], list[int]] = {}
+        moved: list[dict[int, list[int]]] = [{} for _ in range(max(pointed.values(), default=0) + 1)]
         for j, times in pointed.items():
-            key = group[j], -times
-            if key in moved:
-                moved[key].append(j)
-            else:
-                moved[key] = [j]
+            moved[times].setdefault(group[j], []).append(j)
         # The most often extended go first and are pushed up by the others; a group that
         # grows as a whole stays where it is.
-        for key in sorted(moved) if len(moved) > 1 else moved:
-            if len(moved[key]) < size[key[0]]:
-                split(key[0], moved[key])
+        for grown in reversed(moved):
+            for old, some in grown.items():
+                if len(some) < size[old]:
+                    split(old, some)
         current = below[current]
 
     ranks = [0] * len(size)
