@@ -310,6 +310,7 @@ def test_edit_distance():
         for i in range(1, len(a) + 1):
             for j in range(1, len(b) + 1):
                 table[i][j] = table[i - 1][j - 1] if a[i - 1] == b[j - 1] else 1 + min(table[i - 1][j], table[i][j - 1])
+        a, b = np.array(a, np.uint64), np.array(b, np.uint64)
         assert near_dedup.edit_distance(a, b, 18) == table[-1][-1]
         if table[-1][-1]:
             assert near_dedup.edit_distance(a, b, table[-1][-1] - 1) is None

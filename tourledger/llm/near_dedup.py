@@ -104,25 +104,32 @@ def order_minhash(kmers: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
     return found
 
 
-def text_keys(data: np.ndarray, offsets: np.ndarray, text: np.ndarray, ends: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """64 bits of the MD5 of each row's words or, if it has none, of its bytes."""
+def text_keys(data: np.ndarray, offsets: np.ndarray, text: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of the MD5 of each row's words or, if it has none, of its bytes."""
     raw, plain = text.tobytes(), data.tobytes()
-    keys = np.empty(len(ends), np.int64)
+    digests = []
     low = 0
     for k, end in enumerate(ends.tolist()):
         body = raw[low:end].strip() if first[k] < first[k + 1] else b"\0" + plain[offsets[k] : offsets[k + 1]]
-        keys[k] = int.from_bytes(hashlib.md5(body).digest()[:8], "little", signed=True)
+        digests.append(hashlib.md5(body).digest())
         low = end + 1
-    return keys
+    halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
+
+
+#: The columns that are equal for texts of equal words: 128 bits, so that no two of 10**15 different
+#: texts agree but with a probability of 10**-9.
+KEY = ["key_a", "key_b"]
 
 
 def with_keys(df: DataFrame, text: str, carry: list[str], sketched: bool) -> DataFrame:
-    """The columns in ``carry`` with ``key``, equal for texts of equal words and null for null
+    """The columns in ``carry`` with ``KEY``, equal for texts of equal words and null for null
     texts, and if asked for ``sketches``, null for texts without words, and ``short``, whether
     the text is compared without a common sketch too."""
     at = df.columns.index(text)
     kept = [df.columns.index(name) for name in carry]
-    fields = [StructField("key", LongType())] + [StructField("sketches", ArrayType(LongType())), StructField("short", BooleanType())] * sketched
+    fields = [StructField(name, LongType()) for name in KEY]
+    fields += [StructField("sketches", ArrayType(LongType())), StructField("short", BooleanType())] * sketched
     schema = schema_of(df.select(*carry), *fields)
 
     @frugal
@@ -130,7 +137,7 @@ def with_keys(df: DataFrame, text: str, carry: list[str], sketched: bool) -> Dat
         for batch, data, offsets in pieces(batches, at):
             words, first, normal, ends = word_hashes(data, offsets)
             null = np.asarray(batch.column(at).is_null())
-            columns = [pa.array(text_keys(data, offsets, normal, ends, first), mask=null)]
+            columns = [pa.array(half, mask=null) for half in text_keys(data, offsets, normal, ends, first)]
             if sketched:
                 grams, row = shingles(words, first)
                 sketches = order_minhash(labelled(grams, row), row, batch.num_rows)
@@ -148,31 +155,56 @@ def with_keys(df: DataFrame, text: str, carry: list[str], sketched: bool) -> Dat
     return df.mapInArrow(read, schema)
 
 
-def edit_distance(a: list[int], b: list[int], band: int) -> int | None:
+def _along(a: np.ndarray, b: np.ndarray, x: int, y: int) -> int:
+    """How many words agree from the two places on, looked at in stretches of growing length."""
+    begin, size, most = x, 32, min(len(a) - x, len(b) - y)
+    while most > 0:
+        size = min(size, most)
+        differ = a[x : x + size] != b[y : y + size]
+        if differ.any():
+            return x + int(differ.argmax()) - begin
+        x, y, most, size = x + size, y + size, most - size, size * 2
+    return x - begin
+
+
+def edit_distance(a: np.ndarray, b: np.ndarray, band: int) -> int | None:
     """Words to delete and insert to make ``a`` into ``b``, if not more than ``band``: the
     alignment keeps to the diagonals that so many edits can reach, and on each goes on along
-    equal words as far as it can."""
+    equal words as far as it can. All diagonals of one number of edits are arrays, from which
+    those go that cannot come back to the last word in time: memory is linear in the band, and
+    time at most its square, of array elements."""
     n, m = len(a), len(b)
-    reach = {1: 0}
+    if abs(n - m) > band:
+        return None
+    zero, none = band + 1, -(n + m + 2)
+    reach = np.full(2 * band + 3, none, np.int64)  # how far into ``a`` each diagonal has come
+    reach[zero + 1] = 0
     for edits in range(band + 1):
-        for k in range(-edits, edits + 1, 2):
-            if k == -edits or (k != edits and reach[k - 1] < reach[k + 1]):
-                x = reach[k + 1]
-            else:
-                x = reach[k - 1] + 1
-            y = x - k
-            while x < n and y < m and a[x] == b[y]:
-                x += 1
-                y += 1
-            reach[k] = x
-            if x >= n and y >= m:
-                return edits
+        low, high = max(-edits, n - m - (band - edits)), min(edits, n - m + (band - edits))
+        low += (low + edits) % 2
+        k = np.arange(low, high + 1, 2)
+        x = np.maximum(reach[zero + k + 1], reach[zero + k - 1] + 1)
+        going = np.arange(len(k))
+        for _ in range(8):
+            own, other = x[going], x[going] - k[going]
+            inside = (own >= 0) & (own < n) & (other >= 0) & (other < m)
+            going, own, other = going[inside], own[inside], other[inside]
+            going = going[a[own] == b[other]]
+            if not len(going):
+                break
+            x[going] += 1
+        for i in going.tolist():  # the few that agree for long
+            x[i] += _along(a, b, int(x[i]), int(x[i] - k[i]))
+        reach[zero + k] = x
+        if ((x >= n) & (x - k >= m)).any():
+            return edits
     return None
 
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> bool:
     """Whether two rows of words are near duplicates: the Jaccard similarity of their shingles
-    is at least ``threshold``, and so is the share of words that the alignment matches."""
+    is at least ``threshold``, and so is the share of words that the alignment matches. So texts
+    of the same passages in another order, or another number of times, are not."""
     one, _ = shingles(a, np.array([0, len(a)]))
     two, _ = shingles(b, np.array([0, len(b)]))
     one, two = np.unique(one), np.unique(two)
@@ -186,7 +218,7 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> bool
     differ = np.flatnonzero(a[len(a) - rest :][::-1] != b[len(b) - rest :][::-1]) if rest else differ[:0]
     end = int(differ[0]) if len(differ) else rest
     band = int((1 - threshold) * (len(a) + len(b)) + 1e-9)
-    return edit_distance(a[begin : len(a) - end].tolist(), b[begin : len(b) - end].tolist(), band) is not None
+    return edit_distance(a[begin : len(a) - end], b[begin : len(b) - end], band) is not None
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -253,7 +285,7 @@ def _agreeing(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicate_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents' doc_id and key, and for each key its group: key, group_id, group_size,
+    """The documents' doc_id and KEY, and for each key its group: KEY, group_id, group_size,
     first (whether it is the key of the group's document that stays).
 
     Texts of equal words are one key from the start. Where a sketch is common to several keys,
@@ -263,9 +295,14 @@ def near_duplicate_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     similarity rules out. So every pair at the threshold is found, or in one component already,
     unless one of its texts is not short and shares no sketch with any key outside its component.
     """
-    plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text")
-    rows = cut(with_keys(plain, "text", ["doc_id"], sketched=True))
-    keys = cut(rows.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.any_value("sketches").alias("sketches"), F.any_value("short").alias("short")))
+    plain = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"))
+    rows = cut(with_keys(plain, "text", ["doc_id", "mark"], sketched=True))
+    # The text of a key is that of its row of least id, known again by a hash of its bytes too: null
+    # and repeated ids say little.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "mark")).alias("least")
+    keys = rows.where("key_a is not null").groupBy(*KEY).agg(least, F.count(F.lit(1)).alias("copies"), F.any_value("sketches").alias("sketches"), F.any_value("short").alias("short"))
+    # From here on a key is a number, which the written table fixes.
+    keys = cut(keys.select(F.monotonically_increasing_id().alias("key"), *KEY, F.col("least.doc_id").alias("least_id"), F.col("least.mark").alias("mark"), "copies", "sketches", "short"))
 
     entries = keys.where("sketches is not null").select("key", F.explode("sketches").alias("sketch")).repartition("sketch")
     sizes = entries.groupBy("sketch").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -279,10 +316,11 @@ def near_duplicate_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     best = shared.groupBy("b").agg(F.max(F.struct("n", "hub_score", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
 
     short = keys.where("short").select("key")
-    needed = members.select("key").union(short).distinct().join(keys.select("key", "least_id", "sketches"), "key")
-    source = plain.join(needed.select("key", "least_id").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("least_id")))
-    found = with_keys(source.select(F.col("key").alias("wanted"), "text"), "text", ["wanted", "text"], sketched=False)
-    texts = cut(found.where("key = wanted").select("key", "text").dropDuplicates(["key"]))
+    needed = members.select("key").union(short).distinct().join(keys.select("key", *KEY, "least_id", "mark", "sketches"), "key")
+    wanted = needed.select("key", "least_id", F.col("mark").alias("least_mark"), *[F.col(c).alias(f"wanted_{c}") for c in KEY]).hint("shuffle_hash")
+    source = plain.join(wanted, F.col("doc_id").eqNullSafe(F.col("least_id")) & (F.col("mark") == F.col("least_mark")))
+    found = with_keys(source, "text", ["key", "text", *[f"wanted_{c}" for c in KEY]], sketched=False)
+    texts = cut(found.where("key_a = wanted_key_a AND key_b = wanted_key_b").select("key", "text").dropDuplicates(["key"]))
 
     first = cut(_agreeing(best, needed))
     links = cut(_linked(first, texts))
@@ -296,12 +334,12 @@ def near_duplicate_keys(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     more = _linked(cut(across.join(tested, ["a", "b"], "left_anti")), texts)
     roots = connected_components(links.union(more))
 
-    grouped = keys.select("key", "least_id", "copies").join(roots.withColumnRenamed("v", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    grouped = keys.select("key", *KEY, "least_id", "copies").join(roots.withColumnRenamed("v", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     winner = F.min(F.struct(F.col("least_id").isNull().alias("unknown"), "least_id", "key"))
     groups = grouped.groupBy("root").agg(winner.alias("winner"), F.sum("copies").alias("group_size"))
     groups = groups.select("root", F.col("winner.least_id").alias("group_id"), F.col("winner.key").alias("winner"), "group_size")
-    groups = grouped.select("key", "root").join(groups, "root").select("key", "group_id", "group_size", (F.col("key") == F.col("winner")).alias("first"))
-    return rows.select("doc_id", "key"), groups
+    groups = grouped.select("key", *KEY, "root").join(groups, "root").select(*KEY, "group_id", "group_size", (F.col("key") == F.col("winner")).alias("first"))
+    return rows.select("doc_id", *KEY), groups
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -315,8 +353,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     or equal ones if a row is repeated.
     """
     rows, groups = near_duplicate_keys(docs)
-    joined = rows.join(groups, "key", "left")
-    alone = F.col("key").isNull()
+    joined = rows.join(groups, KEY, "left")
+    alone = F.col("key_a").isNull()
     return joined.select(
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("group_id")).alias("group_id"),
@@ -331,10 +369,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows, groups = near_duplicate_keys(docs)
     plain, at = numbered(docs)
     keyed = with_keys(plain, at["text"], plain.columns, sketched=False)
-    staying = groups.where("first").select(F.col("key").alias("own"), "group_id")
-    joined = keyed.join(staying, F.col("key") == F.col("own"), "left")
-    kept = joined.where(F.col("key").isNull() | (F.col("own").isNotNull() & F.col(at["doc_id"]).cast("long").eqNullSafe(F.col("group_id"))))
-    repeated = rows.where("key is not null").groupBy("key", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    staying = groups.where("first").select(*[F.col(c).alias(f"own_{c}") for c in KEY], "group_id")
+    joined = keyed.join(staying, (F.col("key_a") == F.col("own_key_a")) & (F.col("key_b") == F.col("own_key_b")), "left")
+    kept = joined.where(F.col("key_a").isNull() | (F.col("own_key_a").isNotNull() & F.col(at["doc_id"]).cast("long").eqNullSafe(F.col("group_id"))))
+    repeated = rows.where("key_a is not null").groupBy(*KEY, "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     if not repeated.isEmpty():
-        kept = kept.where("key is null").unionByName(kept.where("key is not null").dropDuplicates(["key"]))
+        kept = kept.where("key_a is null").unionByName(kept.where("key_a is not null").dropDuplicates(KEY))
     return kept.select(*plain.columns).toDF(*docs.columns)
