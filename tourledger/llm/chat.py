@@ -73,13 +73,17 @@ class Renderer:
     Each prefix of the turns is rendered and compared with the output before: what has been
     added is the new turn's span. If the old output is not a prefix of the new one, the
     template has rewritten history; the turn's span then begins where the outputs part. The
-    text's place in the span shows when the turn is rendered with a probe for its text.
+    text's place in the span shows when the turn is rendered with a probe for its text. What a
+    rewrite has taken away of earlier spans goes, and where there was one, texts are looked up again
+    in the final output; a masked text that cannot be found there is empty and ``lost``.
 
     With ``piece``, a new piece begins after so many turns with the last turn as its only
     context, so that work and memory stay in proportion to a conversation's length. This is
     exact only for templates whose output for a turn depends on it, on the turn before and on
-    whether it is the first; a piece's output is what follows its context. Without it, every
-    prefix is rendered from the first turn on, which is exact for any template.
+    whether it is the first; a piece's output is what follows its context. Whether a template
+    is one is looked at wherever a piece begins: after the whole piece before, its first turn must
+    add the same as after the context, and rewrite nothing; else it is a ValueError. Without
+    ``piece``, every prefix is rendered from the first turn on, which is exact for any template.
     """
 
     def __init__(self, template: Template, piece: int | None = None):
@@ -87,15 +91,23 @@ class Renderer:
         self.turns: list[Turn] = []
         self.output, self.context = "", 0
         self.spans: list[tuple[int, int, int, int]] = []
+        self.masked: list[bool] = []
         self.rewrites: list[int] = []
+        self.whole: tuple[list[Turn], str] | None = None  # the piece before, until the next turn
 
     def add(self, turn: Turn, masked: bool) -> None:
         old, before = self.output, self.turns
         self.output = self.template([*before, turn])
+        if self.whole is not None:
+            turns, output = self.whole
+            if self.template([*turns, turn]) != output + self.output[len(old) :]:
+                raise ValueError("the template looks further back than a turn and cannot be rendered in pieces")
+            self.whole = None
         begin = len(old)
         if not self.output.startswith(old):
             begin = common_prefix(old, self.output)
             self.rewrites.append(len(self.spans))
+            self.spans = [(min(a, begin), min(b, begin), *((c, d) if d <= begin else (min(c, begin),) * 2)) for a, b, c, d in self.spans]
         text = (begin, begin)
         if masked:
             probed = self.template([*before, (turn[0], PROBE)])
@@ -104,26 +116,48 @@ class Renderer:
                 text = (at, at + len(PROBE) + len(self.output) - len(probed))
         self.turns = [*before, turn]
         self.spans.append((begin, len(self.output), *text))
+        self.masked.append(masked)
 
     @property
     def full(self) -> bool:
         return self.piece is not None and len(self.spans) >= self.piece
 
-    def take(self) -> tuple[str, list[list[int]], list[int]]:
-        """The piece's output, its turns' spans and texts in it, and which turns rewrote
-        history; the next piece begins."""
+    def _place(self, number: int) -> tuple[int, int] | None:
+        """Where the output has the text of a span's turn: what is around a probe for it must be
+        what is around the text."""
+        at = len(self.turns) - len(self.spans) + number
+        probed = self.template([*self.turns[:at], (self.turns[at][0], PROBE), *self.turns[at + 1 :]])
+        begin = probed.find(PROBE)
+        end = begin + len(PROBE) + len(self.output) - len(probed)
+        if begin < 0 or end < begin or probed[:begin] != self.output[:begin] or probed[begin + len(PROBE) :] != self.output[end:]:
+            return None
+        return begin, end
+
+    def take(self) -> tuple[str, list[list[int]], list[int], list[int]]:
+        """The piece's output, its turns' spans and texts in it, which turns rewrote history and
+        which masked texts the output has not; the next piece begins."""
+        lost = []
+        if self.rewrites:
+            for number, (a, b, c, _) in enumerate(self.spans):
+                if self.masked[number]:
+                    found = self._place(number)
+                    if found is None:
+                        lost.append(number)
+                    self.spans[number] = (a, b, *(found or (c, c)))
         cut = self.context
-        found = self.output[cut:], [[x - cut for x in span] for span in self.spans], self.rewrites
+        found = self.output[cut:], [[x - cut for x in span] for span in self.spans], self.rewrites, lost
+        if self.piece is not None:
+            self.whole = self.turns, self.output
         last = self.turns[-1:]
         self.turns, self.output = last, self.template(last)
-        self.context, self.spans, self.rewrites = len(self.output), [], []
+        self.context, self.spans, self.masked, self.rewrites = len(self.output), [], [], []
         return found
 
 
 _FORMATTED = StructType([
     StructField("conv_id", LongType()), StructField("piece", LongType()), StructField("formatted", StringType()),
     StructField("spans", ArrayType(ArrayType(LongType()))), StructField("masked", ArrayType(BooleanType())),
-    StructField("rewrites", ArrayType(LongType())),
+    StructField("rewrites", ArrayType(LongType())), StructField("lost", ArrayType(LongType())),
 ])
 
 
@@ -164,7 +198,8 @@ def format_conversations(conversations: DataFrame, template: Template = chat_mar
     Rows: conv_id, piece, formatted, spans (for each turn where its span and its text under
     the loss mask begin and end, in code points of ``formatted``; the text is empty if it is
     not masked), masked (of each turn), rewrites (turns at which the template changed what it
-    had rendered before). Order and nulls are as ``in_order`` has them; repeated rows are
+    had rendered before), lost (masked turns whose text ``formatted`` has not, as the template has
+    rewritten it; their text is empty). Order and nulls are as ``in_order`` has them; repeated rows are
     repeated turns. A conversation's rows come one after the other and are streamed, so with
     pieces its length is no matter of memory.
     """
@@ -173,6 +208,7 @@ def format_conversations(conversations: DataFrame, template: Template = chat_mar
     schema = pa.schema([
         ("conv_id", pa.int64()), ("piece", pa.int64()), ("formatted", pa.string()), ("spans", pa.list_(pa.list_(pa.int64()))),
         ("masked", pa.list_(pa.bool_())), ("rewrites", pa.list_(pa.int64())),
+        ("lost", pa.list_(pa.int64())),
     ])
 
     def render(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,8 +226,8 @@ def format_conversations(conversations: DataFrame, template: Template = chat_mar
                 yield (conv, number, *_piece(renderer, masked))
 
         def _piece(renderer: Renderer, masked: list[bool]) -> tuple:
-            output, spans, rewrites = renderer.take()
-            return output, spans, masked, rewrites
+            output, spans, rewrites, lost = renderer.take()
+            return output, spans, masked, rewrites, lost
 
         yield from _batched(pieces(), schema)
 
@@ -211,7 +247,7 @@ def conversation_digests(formatted: DataFrame) -> DataFrame:
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def conversations() -> Iterator[tuple]:
             conv = turns = None
-            for own, piece, text, spans, _, rewrites in _rows(batches):
+            for own, piece, text, spans, _, rewrites, _ in _rows(batches):
                 if piece == 0:
                     if turns is not None:
                         yield conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars, changed
