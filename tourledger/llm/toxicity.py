@@ -25,10 +25,12 @@ LEXICON_VOTERS = 12
 VOTERS = LEXICON_VOTERS + 2 + 4
 #: A word's first bytes that count as its stem.
 STEMS = (4, 5, 6)
-#: An entry lifts a toxic text's odds by so much, in logs, and is in so many toxic texts or has
-#: so large a likelihood ratio against chance (one in a hundred).
+#: An entry lifts a toxic text's odds by so much, in logs, and is in so many toxic texts or in
+#: LEAST_COUNT of them with so large a likelihood ratio against chance (one in a hundred). What one
+#: text alone has is no evidence: where few texts are toxic, all its rare words would pass.
 LIFT = 1.5
 MIN_COUNT = 5
+LEAST_COUNT = 2
 EVIDENCE = 6.63
 _SALTS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0)
 
@@ -109,7 +111,7 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
 
     def telling(ones: Column) -> Column:
         surprise = ones * F.log(ones / ((ones + zeros) * share)) + F.when(zeros > 0, zeros * F.log(zeros / ((ones + zeros) * (1 - share)))).otherwise(0)
-        return (ones > 0) & (lift(ones) > LIFT) & ((ones >= MIN_COUNT) | (2 * surprise >= EVIDENCE))
+        return (ones >= LEAST_COUNT) & (lift(ones) > LIFT) & ((ones >= MIN_COUNT) | (2 * surprise >= EVIDENCE))
 
     ones = F.col("ones")
     found = counts.where(telling(ones)).select("gram", "ones", lift(ones).alias("lift"), F.when(telling(ones - 1), lift(ones - 1)).otherwise(float("-inf")).alias("without")).toArrow()
