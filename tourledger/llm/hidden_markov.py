@@ -27,12 +27,12 @@ from tourledger.llm.common import LOWER, TOKEN_BYTES, cut, mix, pick, pieces, pr
 STATES = 8
 CLASSES = 2048  # class 0 is the end of a text
 ROUNDS = 3
-#: Documents' sequences are cut into pieces of so many tokens for training (not for scoring).
-TRAIN_PIECE = 256
-#: The first state emissions come from pieces of up to so many packs, drawn by hash.
-START_PACKS = 64
-START_PIECES = 16
-START_ROUNDS = 15
+#: The states are told apart by rounds over one in so many training texts of each pack, so that the
+#: draw grows with the corpus.
+START_SHARE = 16
+START_ROUNDS = 12
+#: Tokens whose forward states are kept at once; a longer stretch is gone through twice.
+STORED = 1 << 21
 #: Tokens are counted in buckets of their hashes, at least 2 ** BUCKET_BITS; there are more, a power
 #: of two, where the packs have more than BUCKET_BYTES of hashes a bucket, so that a task's stays small.
 BUCKET_BITS = 8
@@ -44,7 +44,7 @@ SEED = 7
 _PACK = StructType([
     StructField("pack", LongType()), StructField("ids", ArrayType(LongType())), StructField("held_out", ArrayType(BooleanType())),
     StructField("lengths", BinaryType()), StructField("tokens", BinaryType()), StructField("words", BinaryType()),
-    StructField("classes", BinaryType()), StructField("counts", BinaryType()), StructField("start", BinaryType()),
+    StructField("classes", BinaryType()), StructField("counts", BinaryType()),
 ])
 
 
@@ -57,15 +57,6 @@ def token_classes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.
     return (mix(shape + np.uint64(1)) % np.uint64(CLASSES - 1)).astype(np.uint16) + np.uint16(1)
 
 
-def _pieces_of(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and length of the pieces of at most ``limit`` of sequences laid end to end."""
-    many = -(-lengths // limit)
-    at = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-    place = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    begins = np.repeat(at, many) + place * limit
-    return begins, np.minimum(limit, np.repeat(at + lengths, many) - begins)
-
-
 def packs(docs: DataFrame) -> DataFrame:
     """The documents' tokens in packs, written once: later steps read them several times."""
     rows = pick(docs, "doc_id", "text")
@@ -87,12 +78,7 @@ def packs(docs: DataFrame) -> DataFrame:
             held = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             learned = tokens[np.repeat(~held, lengths)]
             counts = np.bincount(learned, minlength=len(words)).astype(np.uint32)
-            sequence = classes[learned]
-            where, sizes = _pieces_of(lengths[~held], TRAIN_PIECE)
-            full = where[sizes == TRAIN_PIECE] if (sizes == TRAIN_PIECE).any() else where[:0]
-            drawn = np.random.default_rng((SEED, task, number)).permutation(len(full))[:START_PIECES]
-            start = sequence[full[drawn][:, None] + np.arange(TRAIN_PIECE)] if len(drawn) else sequence[:TRAIN_PIECE]
-            arrays = [lengths.astype(np.uint32), tokens, words, classes, counts, start]
+            arrays = [lengths.astype(np.uint32), tokens, words, classes, counts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([task | number]), pa.array([batch.column(1).to_pylist()], pa.list_(pa.int64())), pa.array([held.tolist()]), *[pa.array([np.ascontiguousarray(a).tobytes()], pa.binary()) for a in arrays]],
                 names=_PACK.names,
@@ -195,38 +181,61 @@ def log_likelihoods(model: HiddenMarkov, sequence: np.ndarray, begins: np.ndarra
     return found
 
 
+def _blocks(alive: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of steps with at most STORED tokens, or of one step."""
+    done, edges = np.cumsum(alive), [0]
+    while edges[-1] < len(alive):
+        before = int(done[edges[-1] - 1]) if edges[-1] else 0
+        edges.append(max(edges[-1] + 1, int(np.searchsorted(done, before + STORED, "right"))))
+    return list(zip(edges[:-1], edges[1:]))
+
+
 def expected_counts(model: HiddenMarkov, sequence: np.ndarray, begins: np.ndarray, lengths: np.ndarray, lanes: int = 8192) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Baum-Welch's expected counts of first states, moves and emissions over sequences."""
+    """Baum-Welch's expected counts of first states, moves and emissions over whole sequences.
+
+    All sequences take a step at once, forward and then back. Forward states are kept for a
+    stretch of steps at a time: before the way back, long sequences are gone through once to
+    learn the states at which their stretches begin.
+    """
     first, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
     matrix, table = model.move.astype(np.float32), model.emit.astype(np.float32)
     for low in range(0, len(begins), lanes):
         _, at, alive = _lanes(begins[low : low + lanes], lengths[low : low + lanes])
-        forward, likely, scales = [], [], []
-        state = np.tile(model.first.astype(np.float32), (len(at), 1))
-        for t, n in enumerate(alive.tolist()):
-            emitted = table[sequence[at[:n] + t]]
-            state = (state[:n] @ matrix if t else state[:n]) * emitted
-            scale = 1 / state.sum(axis=1, keepdims=True)
-            state = state * scale
-            forward.append(state)
-            likely.append(emitted)
-            scales.append(scale)
-        back = np.ones((len(at), STATES), np.float32)
-        weights, seen = [], []
-        for t in range(len(alive) - 1, -1, -1):
-            n = int(alive[t])
-            if t + 1 < len(alive):
-                m = int(alive[t + 1])
-                ahead = likely[t + 1] * back[:m] * scales[t + 1]
-                move += (forward[t][:m].T @ ahead) * matrix
-                back[:m] = ahead @ matrix.T
-            gamma = forward[t] * back[:n]
-            gamma /= gamma.sum(axis=1, keepdims=True)
-            weights.append(gamma)
-            seen.append(sequence[at[:n] + t])
-            if t == 0:
+        blocks = _blocks(alive)
+
+        def forward(state: np.ndarray | None, begin: int, end: int, kept: list | None) -> np.ndarray | None:
+            for t in range(begin, end):
+                n = int(alive[t])
+                emitted = table[sequence[at[:n] + t]]
+                state = (state[:n] @ matrix if t else np.tile(model.first.astype(np.float32), (n, 1))) * emitted
+                scale = 1 / state.sum(axis=1, keepdims=True)
+                state = state * scale
+                if kept is not None:
+                    kept.append((state, emitted, scale))
+            return state
+
+        entered = [None]
+        for block in blocks[:-1]:
+            entered.append(forward(entered[-1], *block, None))
+        back, ahead = np.ones((len(at), STATES), np.float32), None
+        for (begin, end), state in zip(reversed(blocks), reversed(entered)):
+            kept: list = []
+            forward(state, begin, end, kept)
+            weights, seen = [], []
+            for t in range(end - 1, begin - 1, -1):
+                here, emitted, scale = kept[t - begin]
+                n = len(here)
+                if ahead is not None:
+                    m = len(ahead)
+                    move += (here[:m].T @ ahead) * matrix
+                    back[:m] = ahead @ matrix.T
+                gamma = here * back[:n]
+                gamma /= gamma.sum(axis=1, keepdims=True)
+                weights.append(gamma)
+                seen.append(sequence[at[:n] + t])
+                ahead = emitted * back[:n] * scale
+            if begin == 0:
                 first += gamma.sum(axis=0)
-        if weights:
             weights, seen = np.concatenate(weights), np.concatenate(seen)
             for k in range(STATES):
                 emit[:, k] += np.bincount(seen, weights[:, k], CLASSES)
@@ -256,7 +265,7 @@ def _summed(partial: DataFrame, sums: np.ndarray) -> np.ndarray:
 
 
 def _round(packed: DataFrame, model: HiddenMarkov, share: np.ndarray) -> HiddenMarkov:
-    """One round of Baum-Welch over every training token, summed over partitions."""
+    """One round of Baum-Welch over every training text, summed over partitions."""
     shared = packed.sparkSession.sparkContext.broadcast(model)
     schema = StructType([StructField("place", IntegerType()), StructField("value", DoubleType())])
 
@@ -267,7 +276,8 @@ def _round(packed: DataFrame, model: HiddenMarkov, share: np.ndarray) -> HiddenM
                 lengths = np.frombuffer(lengths, np.uint32).astype(np.int64)
                 learned = ~np.array(held, bool)
                 sequence = np.frombuffer(classes, np.uint16)[np.frombuffer(tokens, np.uint32)][np.repeat(learned, lengths)]
-                sums += np.concatenate([x.ravel() for x in expected_counts(shared.value, sequence, *_pieces_of(lengths[learned], TRAIN_PIECE))])
+                lengths = lengths[learned]
+                sums += np.concatenate([x.ravel() for x in expected_counts(shared.value, sequence, np.cumsum(lengths) - lengths, lengths)])
         found = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(sums[found])], names=schema.names)
 
@@ -277,20 +287,39 @@ def _round(packed: DataFrame, model: HiddenMarkov, share: np.ndarray) -> HiddenM
     return HiddenMarkov.estimated(first, move.reshape(STATES, STATES), emit.reshape(CLASSES, STATES), share)
 
 
-def train(packed: DataFrame, class_counts: np.ndarray, rounds: int = ROUNDS) -> HiddenMarkov:
-    """Baum-Welch: first on a bounded draw of pieces, to tell the states apart, then ``rounds``
-    times over all training texts, from which alone the final parameters come."""
+def drawn_texts(packed: DataFrame, share: int = START_SHARE) -> DataFrame:
+    """One in ``share`` training texts of each pack, at least one, whole; as packs of their own,
+    whose tokens are classes."""
+    schema = "held_out array<boolean>, lengths binary, tokens binary, classes binary"
+
+    def draw(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pack, held, lengths, tokens, classes in zip(*[c.to_pylist() for c in batch.columns]):
+                lengths = np.frombuffer(lengths, np.uint32)
+                learned = np.flatnonzero(~np.array(held, bool))
+                some = np.random.default_rng((SEED, pack)).permutation(learned)[: -(-len(learned) // share)]
+                mine = np.zeros(len(lengths), bool)
+                mine[some] = True
+                own = np.frombuffer(classes, np.uint16)[np.frombuffer(tokens, np.uint32)[np.repeat(mine, lengths)]]
+                arrays = [lengths[mine], own.astype(np.uint32), np.arange(CLASSES, dtype=np.uint16)]
+                columns = [pa.array([[False] * len(some)], pa.list_(pa.bool_())), *[pa.array([a.tobytes()], pa.binary()) for a in arrays]]
+                yield pa.RecordBatch.from_arrays(columns, names=["held_out", "lengths", "tokens", "classes"])
+
+    return cut(packed.select("pack", "held_out", "lengths", "tokens", "classes").mapInArrow(draw, schema))
+
+
+def train(packed: DataFrame, class_counts: np.ndarray, rounds: int = ROUNDS, start_rounds: int = START_ROUNDS) -> HiddenMarkov:
+    """Baum-Welch: first over a share of the texts, to tell the states apart, then ``rounds``
+    times over all training texts, from which alone the final parameters come. Texts are
+    whole in both, and no number bounds how many there are."""
     share = (class_counts + 0.5) / (class_counts + 0.5).sum()
-    drawn = packed.select("start").where(F.length("start") > 0).orderBy(F.xxhash64("pack")).limit(START_PACKS).collect()
     model = HiddenMarkov.beginning(class_counts)
-    if drawn:
-        starts = [np.frombuffer(r.start, np.uint16) for r in drawn]
-        sequence = np.concatenate(starts)
-        cuts = _pieces_of(np.array([len(s) for s in starts]), TRAIN_PIECE)
-        for _ in range(START_ROUNDS):
-            model = HiddenMarkov.estimated(*expected_counts(model, sequence, *cuts), share)
-    for _ in range(rounds if drawn else 0):
-        model = _round(packed, model, share)
+    if not class_counts.any():
+        return model
+    some = drawn_texts(packed)
+    for texts, times in ((some, start_rounds), (packed, rounds)):
+        for _ in range(times):
+            model = _round(texts, model, share)
     return model
 
 
@@ -302,15 +331,19 @@ def language_model_scores(docs: DataFrame) -> DataFrame:
     learned from. base_score is the log10 probability of the tokens by themselves, score that
     of the model; null texts are an end alone. Tokens are counted by 64-bit hashes.
     """
+    return _scores(*_learned(docs))
+
+
+def _learned(docs: DataFrame) -> tuple[DataFrame, DataFrame, HiddenMarkov, int, float, np.ndarray]:
+    """Packs, their counts, the model, the number of training tokens, and the logs of what a token's
+    share and a share of a class are of."""
     packed = packs(docs)
     counted = count_tokens(packed)
     sums = counted.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("distinct")).first()
     by_class = _class_counts(counted)
-    model = train(packed, by_class[0])
     tokens, distinct = int(sums.tokens), int(sums.distinct)
-    whole = np.log10(tokens + 0.5 * (distinct + 1))
     within = np.log10(by_class[0] + 0.5 * (by_class[1] + 1))
-    return _scores(packed, counted, model, tokens, whole, within)
+    return packed, counted, train(packed, by_class[0]), tokens, np.log10(tokens + 0.5 * (distinct + 1)), within
 
 
 def _scores(packed: DataFrame, counted: DataFrame, model: HiddenMarkov, train_tokens: int, whole: float, within: np.ndarray) -> DataFrame:
