@@ -114,3 +114,48 @@ def test_states_beat_single_tokens_on_held_out_texts(spark):
     held = [r for r in hidden_markov.language_model_scores(docs).collect() if r.held_out]
     tokens = sum(r.n_tokens for r in held)
     assert (sum(r.score for r in held) - sum(r.base_score for r in held)) / tokens > 0.1
+
+
+@pytest.mark.parametrize("segment", [1, 7, 50])
+def test_segments_do_not_change_sums_or_scores(monkeypatch, segment):
+    """Long sequences cut into many segments, beside short ones, and one that a segment just holds."""
+    rng, model = np.random.default_rng(6), model_of(6)
+    lengths = np.array([1, 900, 7, 3, 50, 51, 1, 120], np.int64)
+    begins = np.cumsum(lengths) - lengths
+    sequence = rng.integers(0, CLASSES, lengths.sum()).astype(np.uint16)
+    whole = hidden_markov.log_likelihoods(model, sequence, begins, lengths)
+    monkeypatch.setattr(hidden_markov, "segment_length", lambda lengths: segment)
+    assert (hidden_markov.Segments.of(begins, lengths).parts > 1).sum() >= 3
+    found = expected_counts(model, sequence, begins, lengths, lanes=9)
+    expected = [sum(parts) for parts in zip(*(plain_counts(model, sequence[a : a + n]) for a, n in zip(begins, lengths)))]
+    for one, other in zip(found, expected):
+        assert np.allclose(one, other, rtol=1e-3, atol=1e-4)
+    assert found[1].sum() == pytest.approx((lengths - 1).sum(), rel=1e-4)
+    assert np.allclose(hidden_markov.log_likelihoods(model, sequence, begins, lengths), whole, rtol=1e-9)
+
+
+def test_states_that_a_segment_all_but_rules_out():
+    """A text whose state is certain and unlikely by what follows: nothing underflows, to the last digit."""
+    move = np.full((STATES, STATES), 1e-12) + np.eye(STATES)
+    emit = np.full((CLASSES, STATES), 1e-9)
+    emit[np.arange(STATES) + 1, np.arange(STATES)] = 1
+    model = HiddenMarkov(np.full(STATES, 1 / STATES), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    sequence = np.repeat(np.arange(STATES) + 1, 400).astype(np.uint16)
+    own, length = np.zeros(1, np.int64), np.array([len(sequence)])
+    assert hidden_markov.Segments.of(own, length).parts[0] > 1
+    total, state = 0.0, None
+    for c in sequence:
+        state = (model.first if state is None else state @ model.move) * model.emit[c]
+        total += math.log10(state.sum())
+        state = state / state.sum()
+    assert hidden_markov.log_likelihoods(model, sequence, own, length)[0] == pytest.approx(total, rel=1e-12)
+    for one, other in zip(expected_counts(model, sequence, own, length), plain_counts(model, sequence)):
+        assert np.allclose(one, other, rtol=1e-3, atol=1e-4)
+
+
+def test_a_very_long_text_takes_few_steps():
+    rng, model = np.random.default_rng(7), model_of(7)
+    sequence, length = rng.integers(0, CLASSES, 1_000_000).astype(np.uint16), np.array([1_000_000])
+    assert hidden_markov.Segments.of(np.zeros(1, np.int64), length).lengths.max() == 1000
+    found = expected_counts(model, sequence, np.zeros(1, np.int64), length)
+    assert found[0].sum() == pytest.approx(1, rel=1e-4) and found[2].sum() == pytest.approx(1_000_000, rel=1e-4)

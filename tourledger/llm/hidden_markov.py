@@ -31,8 +31,15 @@ ROUNDS = 3
 #: draw grows with the corpus.
 START_SHARE = 16
 START_ROUNDS = 12
-#: Tokens whose forward states are kept at once; a longer stretch is gone through twice.
+#: Tokens whose forward states are kept at once.
 STORED = 1 << 21
+#: Training texts of several packs are gone through together, up to so many tokens.
+TOGETHER = 1 << 20
+#: A text longer than all but so many of those it is worked on with is cut into segments, of at least
+#: and, but for the root of its length, at most so many tokens. Results do not depend on it.
+CROWD = 64
+SEGMENT = (256, 4096)
+SEGMENT_LANES = 4096
 #: Tokens are counted in buckets of their hashes, at least 2 ** BUCKET_BITS; there are more, a power
 #: of two, where the packs have more than BUCKET_BYTES of hashes a bucket, so that a task's stays small.
 BUCKET_BITS = 8
@@ -165,80 +172,179 @@ def _lanes(begins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
     return order, begins[order], alive
 
 
+@dataclass
+class Segments:
+    """Sequences cut into segments of at most ``limit`` tokens, in order; most are one segment."""
+
+    begins: np.ndarray
+    lengths: np.ndarray
+    parts: np.ndarray  # of each sequence, its number of segments
+    start: np.ndarray  # of each sequence, its first segment
+
+    @classmethod
+    def of(cls, begins: np.ndarray, lengths: np.ndarray) -> Segments:
+        limit = segment_length(lengths)
+        parts = np.maximum(-(-lengths // limit), 1)
+        start = np.cumsum(parts) - parts
+        owner = np.repeat(np.arange(len(parts)), parts)
+        done = (np.arange(len(owner)) - start[owner]) * limit
+        return cls(begins[owner] + done, np.minimum(lengths[owner] - done, limit), parts, start)
+
+    def long(self) -> tuple[np.ndarray, np.ndarray]:
+        """The sequences of several segments, from many segments to few, and for each place of a
+        segment how many of them have one there."""
+        order, _, alive = _lanes(self.start, self.parts)
+        many = int((self.parts > 1).sum())
+        return order[:many], np.minimum(alive, many)
+
+
+def segment_length(lengths: np.ndarray) -> int:
+    """Steps that many sequences take together; only few sequences go on beyond, in segments."""
+    if not len(lengths):
+        return SEGMENT[0]
+    crowd = int(np.partition(lengths, -CROWD)[-CROWD]) if len(lengths) > CROWD else 0
+    return max(SEGMENT[0], math.isqrt(int(lengths.max())), min(crowd, SEGMENT[1]))
+
+
+def _transfers(model: HiddenMarkov, sequence: np.ndarray, segments: Segments) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each segment of a long sequence, the matrix from the state before it to the state at its
+    end: rows that sum to one and their natural logs. All segments take a step at once, so a
+    long sequence needs no step for each of its tokens. The matrix of a first segment has the
+    model's first states in all rows. The last result is each segment's place among them."""
+    which = np.flatnonzero(np.repeat(segments.parts > 1, segments.parts))
+    place = np.full(len(segments.begins), -1)
+    place[which] = np.arange(len(which))
+    matrix, logs = np.empty((len(which), STATES, STATES)), np.zeros((len(which), STATES))
+    begins = np.zeros(len(segments.begins), bool)
+    begins[segments.start] = True
+    for low in range(0, len(which), SEGMENT_LANES):
+        own = which[low : low + SEGMENT_LANES]
+        order, at, alive = _lanes(segments.begins[own], segments.lengths[own])
+        state = np.where(begins[own[order], None, None], model.first, model.move)
+        grown, written = np.zeros((len(own), STATES)), low + order
+        for t, n in enumerate(alive.tolist()):
+            if n < len(state):
+                matrix[written[n : len(state)]] = state[n:]
+            state = (state[:n].reshape(-1, STATES) @ model.move).reshape(n, STATES, STATES) if t else state
+            state = state * model.emit[sequence[at[:n] + t]][:, None, :]
+            scale = state.sum(axis=2)
+            state /= scale[:, :, None]
+            grown[:n] += np.log(scale)
+        matrix[written[: len(state)]] = state
+        logs[written] = grown
+    return matrix, logs, place
+
+
+def _entered(segments: Segments, matrix: np.ndarray, logs: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each segment of a long sequence, the state before it, and of each sequence of ``long``
+    the natural log of its probability."""
+    texts, alive = segments.long()
+    before = np.empty((len(matrix), STATES))
+    total, state = np.zeros(len(texts)), np.full((len(texts), STATES), 1 / STATES)
+    for p, n in enumerate(alive.tolist()):
+        own = place[segments.start[texts[:n]] + p]
+        before[own] = state = state[:n]
+        with np.errstate(divide="ignore"):
+            weights = np.log(state) + logs[own]
+        top = weights.max(axis=1)
+        state = np.einsum("ni,nij->nj", np.exp(weights - top[:, None]), matrix[own])
+        scale = state.sum(axis=1)
+        state /= scale[:, None]
+        total[:n] += top + np.log(scale)
+    return before, total
+
+
+def _left(segments: Segments, matrix: np.ndarray, logs: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Of each segment of a long sequence, how likely each state at its end makes what comes after."""
+    texts, alive = segments.long()
+    after = np.ones((len(matrix), STATES))
+    for p in range(len(alive) - 1, 0, -1):
+        own = place[segments.start[texts[: alive[p]]] + p]
+        weights = logs[own] + np.log(np.einsum("nij,nj->ni", matrix[own], after[own]))
+        after[own - 1] = np.exp(weights - weights.max(axis=1, keepdims=True))
+    return after
+
+
 def log_likelihoods(model: HiddenMarkov, sequence: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """log10 probability of each whole sequence by the scaled forward recursion; all
-    sequences take a step at once."""
-    order, begins, alive = _lanes(begins, lengths)
-    total = np.zeros(len(begins))
-    state = np.tile(model.first, (len(begins), 1))
+    sequences take a step at once, and long ones all their segments."""
+    segments = Segments.of(begins, lengths)
+    short = np.flatnonzero(segments.parts == 1)
+    order, at, alive = _lanes(begins[short], lengths[short])
+    total = np.zeros(len(short))
+    state = np.tile(model.first, (len(short), 1))
     for t, n in enumerate(alive.tolist()):
-        state = (state[:n] @ model.move if t else state[:n]) * model.emit[sequence[begins[:n] + t]]
+        state = (state[:n] @ model.move if t else state[:n]) * model.emit[sequence[at[:n] + t]]
         scale = state.sum(axis=1)
         state /= scale[:, None]
         total[:n] += np.log10(scale)
     found = np.empty(len(begins))
-    found[order] = total
+    found[short[order]] = total
+    found[segments.long()[0]] = _entered(segments, *_transfers(model, sequence, segments))[1] / math.log(10)
     return found
 
 
-def _blocks(alive: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches of steps with at most STORED tokens, or of one step."""
-    done, edges = np.cumsum(alive), [0]
-    while edges[-1] < len(alive):
-        before = int(done[edges[-1] - 1]) if edges[-1] else 0
-        edges.append(max(edges[-1] + 1, int(np.searchsorted(done, before + STORED, "right"))))
-    return list(zip(edges[:-1], edges[1:]))
+def _groups(lengths: np.ndarray, lanes: int) -> Iterator[slice]:
+    """Stretches of at most STORED tokens and ``lanes`` sequences, or of one sequence."""
+    done, begin = np.cumsum(lengths), 0
+    while begin < len(lengths):
+        before = int(done[begin - 1]) if begin else 0
+        end = min(max(begin + 1, int(np.searchsorted(done, before + STORED, "right"))), begin + lanes)
+        yield slice(begin, end)
+        begin = end
 
 
 def expected_counts(model: HiddenMarkov, sequence: np.ndarray, begins: np.ndarray, lengths: np.ndarray, lanes: int = 8192) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Baum-Welch's expected counts of first states, moves and emissions over whole sequences.
 
-    All sequences take a step at once, forward and then back. Forward states are kept for a
-    stretch of steps at a time: before the way back, long sequences are gone through once to
-    learn the states at which their stretches begin.
+    Sequences take a step at once, forward and then back, in groups whose forward states fit into
+    memory. A long sequence is gone through as segments, each from the exact state before it and
+    back from what comes after it, so that the sums are those of the whole sequence.
     """
     first, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((CLASSES, STATES))
-    matrix, table = model.move.astype(np.float32), model.emit.astype(np.float32)
-    for low in range(0, len(begins), lanes):
-        _, at, alive = _lanes(begins[low : low + lanes], lengths[low : low + lanes])
-        blocks = _blocks(alive)
-
-        def forward(state: np.ndarray | None, begin: int, end: int, kept: list | None) -> np.ndarray | None:
-            for t in range(begin, end):
-                n = int(alive[t])
-                emitted = table[sequence[at[:n] + t]]
-                state = (state[:n] @ matrix if t else np.tile(model.first.astype(np.float32), (n, 1))) * emitted
-                scale = 1 / state.sum(axis=1, keepdims=True)
-                state = state * scale
-                if kept is not None:
-                    kept.append((state, emitted, scale))
-            return state
-
-        entered = [None]
-        for block in blocks[:-1]:
-            entered.append(forward(entered[-1], *block, None))
-        back, ahead = np.ones((len(at), STATES), np.float32), None
-        for (begin, end), state in zip(reversed(blocks), reversed(entered)):
-            kept: list = []
-            forward(state, begin, end, kept)
-            weights, seen = [], []
-            for t in range(end - 1, begin - 1, -1):
-                here, emitted, scale = kept[t - begin]
-                n = len(here)
-                if ahead is not None:
-                    m = len(ahead)
-                    move += (here[:m].T @ ahead) * matrix
-                    back[:m] = ahead @ matrix.T
-                gamma = here * back[:n]
-                gamma /= gamma.sum(axis=1, keepdims=True)
-                weights.append(gamma)
-                seen.append(sequence[at[:n] + t])
-                ahead = emitted * back[:n] * scale
-            if begin == 0:
-                first += gamma.sum(axis=0)
-            weights, seen = np.concatenate(weights), np.concatenate(seen)
-            for k in range(STATES):
-                emit[:, k] += np.bincount(seen, weights[:, k], CLASSES)
+    matrix, table, starts = model.move.astype(np.float32), model.emit.astype(np.float32), model.first.astype(np.float32)
+    segments = Segments.of(begins, lengths)
+    *parts, place = _transfers(model, sequence, segments)
+    before, after = _entered(segments, *parts, place)[0].astype(np.float32), _left(segments, *parts, place).astype(np.float32)
+    begun = np.zeros(len(place), bool)
+    begun[segments.start] = True
+    order = np.argsort(-segments.lengths, kind="stable")
+    for group in _groups(segments.lengths[order], lanes):
+        own = order[group]
+        _, at, alive = _lanes(segments.begins[own], segments.lengths[own])
+        state = np.tile(starts, (len(own), 1))
+        entering = np.flatnonzero(~begun[own])
+        entry = before[place[own[entering]]]
+        state[entering] = entry @ matrix
+        back = np.ones((len(own), STATES), np.float32)
+        followed = place[own] >= 0
+        back[followed] = after[place[own[followed]]]
+        kept = []
+        for t, n in enumerate(alive.tolist()):
+            emitted = table[sequence[at[:n] + t]]
+            state = (state[:n] @ matrix if t else state) * emitted
+            scale = 1 / state.sum(axis=1, keepdims=True)
+            state = state * scale
+            kept.append((state, emitted, scale))
+        weights, seen, ahead = [], [], None
+        for t in range(len(kept) - 1, -1, -1):
+            here, emitted, scale = kept.pop()
+            n, m = len(here), 0
+            if ahead is not None:
+                m = len(ahead)
+                move += (here[:m].T @ ahead) * matrix
+                back[:m] = ahead @ matrix.T
+            back[m:n] /= (here[m:] * back[m:n]).sum(axis=1, keepdims=True)  # these end here
+            gamma = here * back[:n]
+            gamma /= gamma.sum(axis=1, keepdims=True)
+            weights.append(gamma)
+            seen.append(sequence[at[:n] + t])
+            ahead = emitted * back[:n] * scale
+        first += gamma[begun[own]].sum(axis=0)
+        move += (entry.T @ ahead[entering]) * matrix
+        weights, seen = np.concatenate(weights), np.concatenate(seen)
+        for k in range(STATES):
+            emit[:, k] += np.bincount(seen, weights[:, k], CLASSES)
     return first, move, emit
 
 
@@ -264,6 +370,24 @@ def _summed(partial: DataFrame, sums: np.ndarray) -> np.ndarray:
     return sums
 
 
+def _together(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Classes and lengths of the training texts of one or more packs."""
+    parts, size = [], 0
+    for batch in batches:
+        for k in range(batch.num_rows):
+            held, lengths, tokens, classes = [c[k].as_py() for c in batch.columns]
+            lengths = np.frombuffer(lengths, np.uint32).astype(np.int64)
+            learned = ~np.array(held, bool)
+            sequence = np.frombuffer(classes, np.uint16)[np.frombuffer(tokens, np.uint32)][np.repeat(learned, lengths)]
+            parts.append((sequence, lengths[learned]))
+            size += len(sequence)
+            if size >= TOGETHER:
+                yield tuple(map(np.concatenate, zip(*parts)))
+                parts, size = [], 0
+    if size:
+        yield tuple(map(np.concatenate, zip(*parts)))
+
+
 def _round(packed: DataFrame, model: HiddenMarkov, share: np.ndarray) -> HiddenMarkov:
     """One round of Baum-Welch over every training text, summed over partitions."""
     shared = packed.sparkSession.sparkContext.broadcast(model)
@@ -271,13 +395,8 @@ def _round(packed: DataFrame, model: HiddenMarkov, share: np.ndarray) -> HiddenM
 
     def expect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(STATES + STATES * STATES + CLASSES * STATES)
-        for batch in batches:
-            for held, lengths, tokens, classes in zip(*[c.to_pylist() for c in batch.columns]):
-                lengths = np.frombuffer(lengths, np.uint32).astype(np.int64)
-                learned = ~np.array(held, bool)
-                sequence = np.frombuffer(classes, np.uint16)[np.frombuffer(tokens, np.uint32)][np.repeat(learned, lengths)]
-                lengths = lengths[learned]
-                sums += np.concatenate([x.ravel() for x in expected_counts(shared.value, sequence, np.cumsum(lengths) - lengths, lengths)])
+        for sequence, lengths in _together(batches):
+            sums += np.concatenate([x.ravel() for x in expected_counts(shared.value, sequence, np.cumsum(lengths) - lengths, lengths)])
         found = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(sums[found])], names=schema.names)
 
