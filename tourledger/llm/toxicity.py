@@ -23,6 +23,8 @@ LEVELS = 8
 #: pattern voters come on top.
 LEXICON_VOTERS = 12
 VOTERS = LEXICON_VOTERS + 2 + 4
+#: Rounds of the label model in which the tree of voters is looked for anew.
+TREE_ROUNDS = 5
 #: A word's first bytes that count as its stem.
 STEMS = (4, 5, 6)
 #: An entry lifts a toxic text's odds by so much, in logs, and is in so many toxic texts or in
@@ -181,48 +183,91 @@ class Voters:
 
 @dataclass
 class LabelModel:
-    """How often each voter fires for either label, how much it repeats others, and the prior."""
+    """How often each voter fires for either label, and given the voter that it goes with most.
+
+    Within a label the voters form a tree: each depends on its parent's vote, and evidence that
+    the parent gave already does not count again. A text's votes have one probability
+    for each label, which is what expectation maximisation raises.
+    """
 
     prior: float
     rates: np.ndarray  # (2, voters): of labels 0 and 1
-    weights: np.ndarray  # a voter's share of its own evidence, less if it goes with others
+    weights: np.ndarray  # the share of a voter's evidence that no single other voter has
+    parents: np.ndarray  # (voters,): -1 for the root
+    given: np.ndarray  # (2, 2, voters): rates of labels 0 and 1, if the parent is silent or fires
 
     def log_odds(self, fired: np.ndarray) -> np.ndarray:
-        on = np.log(self.rates[1] / self.rates[0])
-        off = np.log((1 - self.rates[1]) / (1 - self.rates[0]))
-        return np.log(self.prior / (1 - self.prior)) + np.where(fired, on, off) @ self.weights
+        fired = fired.astype(bool)
+        above = np.where(self.parents >= 0, fired[:, self.parents], False).astype(np.int64)
+        clean, toxic = (given[above, np.arange(fired.shape[1])] for given in self.given)
+        evidence = np.where(fired, np.log(toxic / clean), np.log((1 - toxic) / (1 - clean)))
+        return np.log(self.prior / (1 - self.prior)) + evidence.sum(axis=1)
 
     def posterior(self, fired: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.log_odds(fired), -50, 50)))
 
 
+def _shared(rates: np.ndarray, both: np.ndarray) -> np.ndarray:
+    """Mutual information of each two voters' votes, from how often each fires and both do."""
+    found = np.zeros_like(both)
+    for cell, one, other in (
+        (both, rates[:, None], rates[None, :]),
+        (rates[:, None] - both, rates[:, None], 1 - rates[None, :]),
+        (rates[None, :] - both, 1 - rates[:, None], rates[None, :]),
+        (1 - rates[:, None] - rates[None, :] + both, 1 - rates[:, None], 1 - rates[None, :]),
+    ):
+        cell = np.maximum(cell, 1e-12)
+        found += cell * np.log(cell / (one * other))
+    return np.maximum(found, 0)
+
+
+def _tree(tie: np.ndarray) -> np.ndarray:
+    """Each voter's parent in the tree of the strongest ties; the first voter is its root."""
+    parents = np.full(len(tie), -1)
+    nearest, strength, left = np.zeros(len(tie), np.int64), tie[0].copy(), np.arange(len(tie)) > 0
+    while left.any():
+        v = int(np.argmax(np.where(left, strength, -1)))
+        parents[v], left[v] = nearest[v], False
+        closer = left & (tie[v] > strength)
+        nearest[closer], strength[closer] = v, tie[v][closer]
+    return parents
+
+
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, known: np.ndarray, toxic: np.ndarray, rounds: int = 25) -> LabelModel:
     """Expectation maximisation over how often each vote pattern occurs.
 
     ``patterns`` and ``counts`` are of all documents, ``known`` and ``toxic`` the votes and
-    labels of the labelled sample, which keep their labels throughout. Each round estimates
-    the voters' rates from the expected labels, and from what is left of their correlations
-    within each label how much of a voter's evidence others give too.
+    labels of the labelled sample, which keep their labels throughout and alone give the first
+    model. Each round estimates the voters' rates from the expected labels, alone and given
+    their parents' votes. The tree of parents is the one of the highest likelihood, that of the
+    most mutual information within labels; after TREE_ROUNDS it stays as it is.
     """
     base = np.array([[(toxic == y).sum() + 1.0] for y in (0, 1)])
     fires = np.stack([known[toxic == y].sum(axis=0) for y in (0, 1)]) + np.array([[0.05], [0.2]])
-    prior = float(base[1, 0] / base.sum())
-    rates = np.clip(fires / (base + 1), 1e-4, 1 - 1e-4)
-    model = LabelModel(prior, rates, np.ones(patterns.shape[1]))
-    for _ in range(rounds):
-        toxic_here = model.posterior(patterns) * counts
-        expected = np.stack([counts - toxic_here, toxic_here])
+    agreed = np.stack([known[toxic == y].T.astype(np.float64) @ known[toxic == y] for y in (0, 1)])
+    model, expected = None, np.zeros((2, len(counts)))
+    for done in range(rounds + 1):
+        if done:
+            toxic_here = model.posterior(patterns) * counts
+            expected = np.stack([counts - toxic_here, toxic_here])
         mass = expected.sum(axis=1, keepdims=True) + base
         rates = np.clip((expected @ patterns + fires) / (mass + 1), 1e-4, 1 - 1e-4)
-        correlation = np.zeros((patterns.shape[1],) * 2)
+        both = np.stack([(patterns * e[:, None]).T @ patterns for e in expected]) + agreed
+        share = mass[:, 0] / mass.sum()
+        # One text more of each label, in which votes do not depend on each other.
+        tie = sum(share[y] * _shared(rates[y], (both[y] + np.outer(rates[y], rates[y])) / (mass[y] + 1)) for y in (0, 1))
+        own = -sum(share[y] * (rates[y] * np.log(rates[y]) + (1 - rates[y]) * np.log(1 - rates[y])) for y in (0, 1))
+        np.fill_diagonal(tie, 0)
+        parents = _tree(tie) if done <= TREE_ROUNDS else model.parents
+        given = np.stack([rates, rates], 1)
+        below = np.flatnonzero(parents >= 0)
         for y in (0, 1):
-            centred = patterns - rates[y]
-            covariance = (centred * expected[y][:, None]).T @ centred / mass[y]
-            spread = np.sqrt(rates[y] * (1 - rates[y]))
-            correlation += np.abs(covariance / np.outer(spread, spread)) / 2
-        np.fill_diagonal(correlation, 0)
-        weights = 1 / (1 + np.minimum(correlation, 1).sum(axis=1))
-        model = LabelModel(float(np.clip(mass[1, 0] / mass.sum(), 1e-4, 0.9)), rates, weights)
+            of, fired = parents[below], both[y].diagonal()
+            with_it = both[y][of, below]
+            given[y, 1, below] = (with_it + rates[y, below]) / (fired[of] + 1)
+            given[y, 0, below] = (fired[below] - with_it + rates[y, below]) / (mass[y] - fired[of] + 1)
+        weights = 1 - np.clip(tie.max(axis=1, initial=0) / own, 0, 1)
+        model = LabelModel(float(np.clip(share[1], 1e-4, 0.9)), rates, weights, parents, np.clip(given, 1e-4, 1 - 1e-4))
     return model
 
 
